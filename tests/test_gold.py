@@ -1,0 +1,247 @@
+from __future__ import annotations
+
+import hashlib
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from conftest import order, rows, ts
+from pyspark.sql import functions as F
+
+from parcelscope.functions.keys import surrogate_key
+from parcelscope.plans import gold
+from parcelscope.plans.calendar import calendar, calendar_over
+from parcelscope.plans.gold import Gold
+from parcelscope.plans.silver import Silver
+from parcelscope.schemas import GOLD
+
+
+def md5(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def review(review_id, order_id, score, answered):
+    return {
+        "review_id": review_id,
+        "order_id": order_id,
+        "review_score": score,
+        "review_answer_timestamp": ts(answered),
+    }
+
+
+def item(order_id, n, seller="s1", product="p1", price="10.00"):
+    return {
+        "order_id": order_id,
+        "order_item_id": n,
+        "seller_id": seller,
+        "product_id": product,
+        "price": Decimal(price),
+        "freight_value": Decimal("1.00"),
+    }
+
+
+@pytest.fixture
+def market(spark, bronze):
+    """A small marketplace with one row for every rule of the fact table."""
+    tables = {
+        "orders": bronze(
+            "orders",
+            order("o1", "c1", "2016-12-30 10:00", "2017-01-02 11:00", "2017-01-01"),
+            order("o2", "c2", "2017-03-01", None, "2017-03-09"),
+            order("o3", "c3", "2017-03-02", "2017-03-04", "2017-03-09"),
+            order("o4", "c4", "2017-03-02", "2017-03-04", "2017-03-09"),  # paid, no items
+            order("o5", "unknown", "2017-03-02", "2017-03-04", "2017-03-09"),
+        ),
+        "order_items": bronze(
+            "order_items",
+            item("o1", 1),
+            item("o1", 2, product="p2"),
+            item("o1", 3, seller="s2"),
+            item("o2", 1),
+            item("o3", 1, seller="s2"),
+            item("o3", 2, seller="gone"),
+            item("o5", 1),
+        ),
+        "order_payments": bronze(
+            "order_payments",
+            {"order_id": "o1", "payment_sequential": 1, "payment_value": Decimal("20.00")},
+            {"order_id": "o1", "payment_sequential": 2, "payment_value": Decimal("13.00")},
+            {"order_id": "o3", "payment_sequential": 1, "payment_value": Decimal("22.00")},
+            {"order_id": "o4", "payment_sequential": 1, "payment_value": Decimal("99.00")},
+        ),
+        "order_reviews": bronze(
+            "order_reviews",
+            review("r1", "o1", "2", "2017-01-05"),
+            review("r2", "o1", "4", "2017-01-06"),
+            review("r3", "o1", "bad", "2017-01-07"),
+            review("r4", "o3", "3", None),
+            review("r5", "o3", "1", "2017-03-05"),
+            review("r6", "o3", "5", "2017-03-05"),
+        ),
+        "customers": bronze(
+            "customers",
+            {"customer_id": "c1", "customer_unique_id": "u1", "customer_city": "a",
+             "customer_state": "sp", "customer_zip_code_prefix": 1},
+            {"customer_id": "c2", "customer_unique_id": "u1", "customer_city": "b",
+             "customer_state": "rj", "customer_zip_code_prefix": 2},
+            {"customer_id": "c3", "customer_unique_id": "u2", "customer_state": "sp",
+             "customer_zip_code_prefix": 9},
+            {"customer_id": "c4", "customer_unique_id": "u3"},
+        ),
+        "sellers": bronze(
+            "sellers",
+            {"seller_id": "s1", "seller_zip_code_prefix": 1, "seller_state": "sp"},
+            {"seller_id": "s2", "seller_zip_code_prefix": 2, "seller_state": "rj"},
+            {"seller_id": "s3", "seller_state": "mg"},
+        ),
+        "products": bronze(
+            "products",
+            {"product_id": "p1", "product_category_name": "livros", "product_weight_g": 7},
+            {"product_id": "p2"},
+        ),
+        "product_category_translation": bronze(
+            "product_category_translation",
+            {"product_category_name": "livros", "product_category_name_english": "books"},
+        ),
+        "geolocation": bronze(
+            "geolocation",
+            *[
+                {"geolocation_zip_code_prefix": z, "geolocation_city": c, "geolocation_state": "SP",
+                 "geolocation_lat": lat, "geolocation_lng": -lat}
+                for z, c, lat in [(1, "x", 1.0), (1, "x", 3.0), (1, "y", 8.0), (2, "x", 4.0)]
+            ],
+        ),
+    }
+    silver = Silver(tables.__getitem__)
+    return Gold(silver, calendar(spark, date(2016, 1, 1), date(2018, 12, 31), date(2020, 6, 1)))
+
+
+def test_customer_dimension_has_one_row_per_person(market):
+    assert rows(
+        market["dim_customers"],
+        "customer_unique_id", "customer_city", "customer_state", "geolocation_lat", "customer_key",
+    ) == [
+        ("u1", "b", "RJ", 4.0, md5("u1")),  # highest customer_id wins
+        ("u2", None, "SP", None, md5("u2")),  # zip not in the geography
+        ("u3", None, None, None, md5("u3")),
+    ]
+
+
+def test_coordinates_weigh_cities_not_rows(market):
+    places = gold.geo_by_zip(market.silver["geolocation"])
+    # city x averages 2.0, city y 8.0
+    assert rows(places, "geolocation_zip_code_prefix", "geolocation_lat") == [(1, 5.0), (2, 4.0)]
+
+
+def test_seller_statistics_count_item_review_pairs(market):
+    assert rows(
+        market["dim_sellers"], "seller_id", "total_orders", "on_time_rate", "avg_review_score"
+    ) == [
+        # s1: two items of o1 x three reviews, one item of o2 without review, one of o5
+        ("s1", 8, 2 / 8, 3.0),
+        # s2: one item of o1 x three reviews, one of o3 x three
+        ("s2", 6, 3 / 6, (2 + 4 + 3 + 1 + 5) / 5),
+        ("s3", None, None, None),
+    ]
+
+
+def test_seller_statistics_equal_the_plain_join(market):
+    s = market.silver
+    plain = (
+        s["order_items"]
+        .join(s["orders"], "order_id")
+        .join(s["order_reviews"], "order_id", "left")
+        .groupBy("seller_id")
+        .agg(
+            F.count(F.lit(1)),
+            F.avg(1 - F.col("is_late")),
+            F.avg("review_score"),
+        )
+    )
+    ours = gold.seller_stats(s["order_items"], s["orders"], s["order_reviews"])
+    assert rows(ours) == rows(plain)
+    # one valid review per order is the other reading; it gives other numbers
+    single = gold.latest_review(s["order_reviews"]).withColumn("review_score_valid", F.lit(1))
+    corrected = gold.seller_stats(s["order_items"], s["orders"], single)
+    assert rows(corrected.where("seller_id = 's1'"), "total_orders") == [(4,)]
+
+
+def test_latest_valid_review_wins_with_nulls_last_and_ties_broken(market):
+    latest = gold.latest_review(market.silver["order_reviews"])
+    assert rows(latest) == [("o1", 4), ("o3", 5)]
+
+
+def test_fact_rows(market):
+    fact = market["fact_orders"]
+    assert fact.schema.simpleString() == GOLD["fact_orders"].simpleString()
+    assert rows(
+        fact, "order_id", "order_item_id", "payment_value", "review_score", "order_date_key",
+        "delivery_date_key", "delivery_days", "days_late", "is_late", "is_delivered",
+    ) == [
+        ("o1", 1, Decimal("33.00"), 4, 20161230, 20170102, 3, 1, 1, 1),
+        ("o1", 2, Decimal("33.00"), 4, 20161230, 20170102, 3, 1, 1, 1),
+        ("o1", 3, Decimal("33.00"), 4, 20161230, 20170102, 3, 1, 1, 1),
+        ("o2", 1, None, None, 20170301, None, None, None, 0, 0),
+        ("o3", 1, Decimal("22.00"), 5, 20170302, 20170304, 2, -5, 0, 1),
+        # o3 item 2 has an unknown seller, o5 an unknown customer, o4 no items
+    ]
+
+
+def test_fact_keys_are_md5_of_natural_keys(market):
+    fact = market["fact_orders"].where("order_id = 'o1' AND order_item_id = 3")
+    assert rows(fact, "order_item_key", "customer_key", "seller_key", "product_key") == [
+        (md5("o13"), md5("u1"), md5("s2"), md5("p1"))
+    ]
+
+
+def test_item_keys_collide_without_a_separator(spark):
+    df = spark.createDataFrame([("1", 11), ("11", 1)], "o string, i int")
+    key = surrogate_key(F.col("o"), F.col("i"))
+    spaced = surrogate_key(F.col("o"), F.col("i"), sep="|")
+    assert df.select(key.alias("k")).distinct().count() == 1
+    assert df.select(spaced.alias("k")).distinct().count() == 2
+
+
+def test_values_that_do_not_fit_the_declared_type_are_errors(spark, market):
+    wide = market["dim_products"].withColumn("product_weight_g", F.lit(2**40))
+    with pytest.raises(Exception, match="(?i)overflow"):
+        gold.conform(wide, "dim_products").collect()
+
+
+def test_calendar_attributes(spark):
+    days = calendar(spark, date(2016, 1, 1), date(2018, 12, 31), date(2020, 6, 1))
+    assert days.schema.simpleString() == GOLD["dim_date"].simpleString()
+    assert days.count() == 1096
+    picked = days.where(F.col("date_key").isin(20160101, 20160103, 20160229, 20161231, 20181231))
+    assert rows(
+        picked, "date_key", "week_of_year", "is_month_end", "day_of_week", "day_name", "is_weekend"
+    ) == [
+        (20160101, 1, False, 6, "Friday", False),
+        (20160103, 2, False, 1, "Sunday", True),
+        (20160229, 10, True, 2, "Monday", False),
+        (20161231, 53, True, 7, "Saturday", True),
+        (20181231, 53, True, 2, "Monday", False),
+    ]
+    leap = days.where("date_key = 20160229")
+    assert rows(leap, "quarter_name", "month_name", "month_year", "year_offset") == [
+        ("Q1", "February", "Feb-2016", -4)
+    ]
+
+
+def test_week_of_year_counts_sundays(spark):
+    days = calendar(spark, date(2015, 1, 1), date(2020, 12, 31), date(2020, 6, 1))
+    for full_date, week in days.select("full_date", "week_of_year").collect():
+        first = date(full_date.year, 1, 1).toordinal()
+        # ordinals divisible by 7 are Sundays
+        sundays = full_date.toordinal() // 7 - first // 7
+        assert week == 1 + sundays, full_date
+
+
+def test_calendar_over_covers_whole_years(market):
+    days = calendar_over(
+        market.silver["orders"], ["order_purchase_timestamp", "order_delivered_customer_date"],
+        date(2020, 1, 1),
+    )
+    assert rows(days.agg(F.min("full_date"), F.max("full_date"))) == [
+        (date(2016, 1, 1), date(2017, 12, 31))
+    ]
