@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,8 +76,10 @@ def spread_join(
 
 
 def totals_side_by_side(*frames: DataFrame) -> DataFrame:
-    """Combine one-row totals into one row."""
-    first, *rest = frames
-    for frame in rest:
-        first = first.crossJoin(frame)
-    return first
+    """Combine one-row totals with distinct column names into one row.
+
+    Stacked and folded by an aggregate, so no cross join is planned and a frame with more than one
+    row could not multiply the others.
+    """
+    tall = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return tall.agg(*[F.max(c).alias(c) for c in tall.columns])

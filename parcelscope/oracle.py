@@ -423,6 +423,21 @@ def _gold_checks() -> str:
     return _with(" UNION ALL ".join(parts))
 
 
+def _lengths() -> str:
+    limits = {
+        "dim_customers": {"customer_unique_id": 50, "customer_city": 100, "customer_state": 2},
+        "dim_sellers": {"seller_id": 50, "seller_city": 100, "seller_state": 2},
+        "dim_products": {"product_id": 50, "product_category_english": 100},
+    }
+    parts = []
+    for table, columns in limits.items():
+        for column, size in columns.items():
+            over = f"count(*) FILTER (WHERE length({column}) > {size})"
+            check = (f"length_{column}", f"{over} || ' values over {size}'", f"{over} = 0")
+            parts.append(_checks(table, f"SELECT * FROM g_{table}", [check]))
+    return _with(" UNION ALL ".join(parts))
+
+
 def _silver(table: str, **text_columns: str) -> str:
     replace = ", ".join(f"{expr} AS {c}" for c, expr in text_columns.items())
     return _with(f"SELECT * {f'REPLACE ({replace})' if replace else ''} FROM s_{table}")
@@ -543,6 +558,7 @@ _SQL: dict[str, str] = {
     "qc_summary": _with(
         "SELECT passed, count(*) AS n_checks FROM checked GROUP BY passed", checked=_silver_checks()
     ),
+    "qc_lengths": _lengths(),
     "qc_unique_item_key": _with(
         """
         SELECT 'order_items' AS table_name, 'unique_item_key' AS check_type,

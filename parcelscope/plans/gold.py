@@ -135,8 +135,10 @@ def fact_orders(
 
     Items without a known order, customer, seller or product are left out; missing payments and
     reviews stay null. Shuffles: everything about an order (customer, review, payments) meets at
-    order grain first, items meet sellers and products on their ids, and the wide item rows cross
-    the network once more, for the order. ``sep`` goes into the item key only.
+    order grain first, items meet sellers and products on their ids, and the item rows cross the
+    network once more, for the order. A hot seller or product is split by adaptive execution; a hot
+    order or customer, whose other side is computed on the join key, is spread explicitly. ``sep``
+    goes into the item key only.
     """
     orders = silver["orders"].select(
         "order_id",
@@ -150,9 +152,17 @@ def fact_orders(
         "is_late",
         "is_delivered",
     )
+    lookup = customer_lookup(silver["customers"])
+    hot_people = hot_keys(silver["customers"], "customer_unique_id", ["customer_id"])
+    known_people = spread_join(
+        lookup,
+        dims["dim_customers"].select("customer_unique_id"),
+        hot_people,
+        "customer_unique_id",
+        ["customer_id"],
+    )
     known_orders = (
-        orders.join(customer_lookup(silver["customers"]), "customer_id")
-        .join(dims["dim_customers"].select("customer_unique_id"), "customer_unique_id")
+        orders.join(known_people, "customer_id")
         .join(latest_review(silver["order_reviews"]), "order_id", "left")
         .join(payments_agg(silver["order_payments"]), "order_id", "left")
     )

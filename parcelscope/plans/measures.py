@@ -166,6 +166,8 @@ def in_context(
         dim = dim.select(
             F.col(dim_key).alias("_key"), *[F.col(a).alias(f"_axis_{a}") for a in axes]
         )
+        if table == DATES:
+            dim = F.broadcast(dim)  # one row per calendar day
         how = "left" if not tests else "inner" if axes else "left_semi"
         rows = rows.join(dim, F.col(fact_key) == F.col("_key"), how).drop("_key")
     axis_columns = [
@@ -410,7 +412,8 @@ def _yoy(model, context, needs) -> DataFrame:
     periods = now.unionByName(before)
     other = context.without_dates()
     rows = in_context(model, other, ["order_date_key", "order_id", "payment_value"])
-    dated = rows.join(periods, F.col("order_date_key") == F.col("date_key"))
+    # at most two rows per calendar day and group, and a day is in one group
+    dated = rows.join(F.broadcast(periods), F.col("order_date_key") == F.col("date_key"))
     names = _period_names(context, group)
     paid = F.col("payment_value")
     keys = [*names, *([] if "order_id" in context.names else ["order_id"])]

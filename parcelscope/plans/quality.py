@@ -49,6 +49,12 @@ GOLD_REFERENCES = (
     ("delivery_date_key", "dim_date", "date_key", True),
     ("estimated_delivery_date_key", "dim_date", "date_key", True),
 )
+# Declared lengths of the dimension text columns.
+GOLD_LENGTHS = {
+    "dim_customers": {"customer_unique_id": 50, "customer_city": 100, "customer_state": 2},
+    "dim_sellers": {"seller_id": 50, "seller_city": 100, "seller_state": 2},
+    "dim_products": {"product_id": 50, "product_category_english": 100},
+}
 GOLD_REQUIRED = ("customer_key", "seller_key", "product_key", "order_date_key")
 
 
@@ -59,7 +65,7 @@ def _count() -> Column:
 def _with_expected(totals: DataFrame, expected: Expected) -> DataFrame:
     """Attach the expected count: a number, or the single number of a one-row frame."""
     if isinstance(expected, DataFrame):
-        return totals.crossJoin(expected.toDF("expected"))
+        return totals_side_by_side(totals, expected.toDF("expected"))
     return totals.withColumn("expected", F.lit(expected).cast("long"))
 
 
@@ -347,6 +353,11 @@ def _gold_revenue(
     )
 
 
+def length_suite(gold: Mapping[str, DataFrame]) -> DataFrame:
+    """Text values longer than the warehouse declares; Spark strings have no length of their own."""
+    return stacked([too_long(gold[t], t, limits) for t, limits in GOLD_LENGTHS.items()])
+
+
 def unique_keys(df: DataFrame, name: str, key: str) -> DataFrame:
     """One check row: is ``key`` unique in ``df``? Used on keys that are hashed from parts."""
     totals = df.agg((_count() - F.count_distinct(key)).alias("n"))

@@ -8,7 +8,6 @@ are chosen by file instead of by event date, so late rows are never missed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelscope.schemas import TableSpec
@@ -60,8 +59,3 @@ def append_new(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parq
     )
     query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)
-
-
-def partitioned_by_month(df: DataFrame, column: str) -> DataFrame:
-    """Adds year and month columns for a partitioned sink."""
-    return df.withColumns({"year": F.year(column), "month": F.month(column)})

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelscope.operators.joins import totals_side_by_side
 from parcelscope.plans import analyses, gold, quality
 from parcelscope.plans.calendar import calendar, calendar_over
 from parcelscope.plans.control import Ledger
@@ -178,8 +177,10 @@ def in_schema_drift(spark, folder):
     except SchemaDrift:
         pass
     log = spark.table(lake.name("ops", "run_log")).where(F.col("status") == "schema_drift")
-    kept = bronze_table(lake, "sellers").select("seller_id", "seller_state")
-    return kept.crossJoin(log.agg(F.max("error_message").alias("refused")))
+    refused = log.agg(F.max("error_message")).scalar()
+    return bronze_table(lake, "sellers").select(
+        "seller_id", "seller_state", refused.alias("refused")
+    )
 
 
 @query
@@ -341,6 +342,12 @@ def qc_summary(spark, folder):
     return quality.summary(qc_silver(spark, folder))
 
 
+@query
+def qc_lengths(spark, folder):
+    """Declared text lengths of the dimensions."""
+    return quality.length_suite(model_of(spark, folder))
+
+
 @query
 def qc_unique_item_key(spark, folder):
     """Repeats of (order, item) among items, by natural parts and by hashed key, with separator."""

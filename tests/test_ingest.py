@@ -170,6 +170,17 @@ def test_rerun_after_a_crash_before_the_mark_moved(lake, ledger, extract, monkey
     assert rows(bronze_table(lake, "orders"), "order_id") == [("1",), ("2",)]
 
 
+def test_incremental_load_by_month_prunes(lake, ledger, extract):
+    source = extract(ORDERS + order_line("1", "2017-01-01") + order_line("2", "2017-02-02"))
+    incremental_load(lake, ledger, "orders", source, "r1", RUN_DAY, by_month=True)
+    more = extract(ORDERS + order_line("3", "2018-02-02"))
+    incremental_load(lake, ledger, "orders", more, "r2", RUN_DAY, by_month=True)
+    table = lake.table("bronze", "orders").where("event_year = 2017 AND event_month = 2")
+    assert rows(table, "order_id") == [("2",)]
+    assert "PartitionFilters: [isnotnull(event_year" in table._jdf.queryExecution().toString()
+    assert bronze_table(lake, "orders").count() == 3
+
+
 def test_after_mark_equals_the_date_comparison(spark):
     df = spark.createDataFrame(
         [(ts(t),) for t in ("2017-01-01 23:59:59", "2017-01-02", "2017-01-02 00:00:01", None)],

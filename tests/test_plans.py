@@ -13,7 +13,11 @@ from parcelscope.settings import PARTITION_BYTES, configure, scratch_dir, shuffl
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
-LAZY = sorted(k for k in entry_point.queries() if k[:3] in ("sv_", "gd_", "me_", "rl_", "an_"))
+LAZY = sorted(
+    k
+    for k in entry_point.queries()
+    if k[:3] in ("sv_", "gd_", "me_", "rl_", "an_") or k in ("qc_bronze", "qc_silver", "qc_summary")
+)
 
 
 def plan_of(spark, name: str) -> str:
@@ -62,6 +66,11 @@ def test_only_bounded_sides_are_broadcast_by_hint(spark, no_broadcast):
     assert broadcasts and all("_hot" in b for b in broadcasts)
 
 
+def test_year_over_year_does_not_shuffle_the_fact_by_date(spark, no_broadcast):
+    plan = plan_of(spark, "me_revenue_yoy").split("== Initial Plan ==")[-1]
+    assert "Exchange hashpartitioning(order_date_key" not in plan
+
+
 def test_fact_moves_wide_item_rows_three_times(spark, no_broadcast):
     """Once per id the items are matched on: seller, product, order."""
     plan = plan_of(spark, "gd_fact_orders")
