@@ -462,9 +462,7 @@ _SQL: dict[str, str] = {
     "in_incremental_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS purchase_date
         FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1998-06-30'""",
-    "in_full_load_roundtrip": _with(
-        "SELECT * FROM r_geolocation WHERE geolocation_state IN ('NATION_1', 'NATION_2')"
-    ),
+    "in_full_load_roundtrip": _with("SELECT * FROM r_geolocation"),
     "in_incremental_load": _with(
         f"""SELECT order_id, order_status,
                    {_clock('order_purchase_timestamp')} AS order_purchase_timestamp,

@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # ingest reports its row count from the progress of every batch of a run
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 # Fixed when the session starts. Recording a Python call site for every column expression would
 # dominate plan building.

@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+VERSION = "version_"
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables under ``root``, one folder per layer, registered as ``<prefix><layer>.<table>``.
@@ -76,7 +79,7 @@ class Lake:
         aggregates on it need no shuffle; leave it off for keys that may be hot.
         """
         name = self.name(layer, table)
-        path = f"{self.path(layer, table)}/version_{uuid.uuid4().hex}"
+        path = f"{self.path(layer, table)}/{VERSION}{uuid.uuid4().hex}"
         writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
         if bucket_by is not None:
             # bucketing lives in the catalog, so the table itself is written
@@ -96,6 +99,26 @@ class Lake:
             self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
+    def drop_old_versions(self, layer: str, table: str) -> int:
+        """Delete the versions a refreshed table no longer points at. Returns how many.
+
+        Not part of ``refresh``: jobs that started before it may still be reading them.
+        """
+        location = (
+            self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+            .where("col_name = 'Location'")
+            .first()["data_type"]
+        )
+        current = location.rstrip("/").rsplit("/", 1)[-1]
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        dropped = 0
+        for status in files.listStatus(folder):
+            name = status.getPath().getName()
+            if current.startswith(VERSION) and name.startswith(VERSION) and name != current:
+                dropped += bool(files.delete(status.getPath(), True))
+        return dropped
+
     def save_managed(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         name = self.name(layer, table)
         df.write.format(self.fmt).mode("overwrite").saveAsTable(name)

@@ -3,12 +3,14 @@ from __future__ import annotations
 import hashlib
 from datetime import date
 from decimal import Decimal
+from functools import partial
 
 import pytest
 from conftest import order, rows, ts
 from pyspark.sql import functions as F
 
 from parcelscope.functions.keys import surrogate_key
+from parcelscope.operators.joins import hot_keys
 from parcelscope.plans import gold
 from parcelscope.plans.calendar import calendar, calendar_over
 from parcelscope.plans.gold import Gold
@@ -187,6 +189,15 @@ def test_fact_rows(market):
     ]
 
 
+def test_fact_is_the_same_with_hot_orders_and_customers(market, monkeypatch):
+    plain = rows(market["fact_orders"])
+    everything_hot = partial(hot_keys, hot_rows=1, one_in=1)
+    monkeypatch.setattr(gold, "hot_keys", everything_hot)
+    spread = gold.fact_orders(market.silver, market)
+    assert "_hot" in spread._jdf.queryExecution().toString()
+    assert rows(spread) == plain and len(plain) == 5
+
+
 def test_fact_keys_are_md5_of_natural_keys(market):
     fact = market["fact_orders"].where("order_id = 'o1' AND order_item_id = 3")
     assert rows(fact, "order_item_key", "customer_key", "seller_key", "product_key") == [

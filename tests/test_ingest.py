@@ -224,6 +224,15 @@ def test_refresh_may_read_the_table_it_replaces(spark, lake):
     assert wider.columns == ["id", "y"] and wider.count() == 5
 
 
+def test_old_versions_go_only_when_asked(spark, lake):
+    for n in (1, 2, 3):
+        lake.refresh(spark.range(n), "silver", "t")
+    assert lake.drop_old_versions("silver", "t") == 2
+    assert lake.drop_old_versions("silver", "t") == 0
+    spark.catalog.refreshTable(lake.name("silver", "t"))
+    assert lake.table("silver", "t").count() == 3
+
+
 def test_bucketed_refresh_joins_without_a_shuffle(spark, lake):
     a = lake.refresh(spark.range(100), "gold", "a", bucket_by=(4, "id"))
     b = lake.refresh(spark.range(50), "gold", "b", bucket_by=(4, "id"))

@@ -8,6 +8,9 @@ import re
 import __spark_entry__ as entry_point
 import pytest
 
+from pyspark.sql import functions as F
+
+from parcelscope.plans.measures import evaluate
 from parcelscope.settings import PARTITION_BYTES, configure, scratch_dir, shuffle_partitions, staged
 
 FOLDER = "/root/testdata/sf0.001"
@@ -90,3 +93,40 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
     df = staged(spark.range(5), "y")
     assert df.count() == 5 and "FileScan parquet" in df._jdf.queryExecution().toString()
+
+
+def test_a_hot_seller_is_split(spark, no_broadcast):
+    """A third of the fact on one seller: the join to the dimension runs in several tasks for it."""
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    settings = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        seller = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000)
+        fact = spark.range(0, 300_000, numPartitions=8).select(
+            F.md5(seller.cast("string")).alias("seller_key"),
+            F.md5(F.col("id").cast("string")).alias("order_id"),
+            (F.col("id") % 2).cast("smallint").alias("is_late"),
+        )
+        sellers = spark.range(5000).select(
+            F.md5(F.col("id").cast("string")).alias("seller_key"),
+            (F.col("id") % 27).cast("string").alias("seller_state"),
+        )
+        result = evaluate(
+            {"fact_orders": fact, "dim_sellers": sellers},
+            ["late_orders", "total_orders"],
+            by=["dim_sellers.seller_state"],
+        )
+        found = result.collect()
+        assert sum(r["late_orders"] for r in found) == 150_000
+        assert sum(r["total_orders"] for r in found) == 300_000
+        assert "SortMergeJoin(skew=true)" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        for key in settings:
+            spark.conf.unset(key)
