@@ -20,6 +20,9 @@ from parcelscope.operators.joins import hot_keys, spread_join
 from parcelscope.plans.silver import Silver
 from parcelscope.schemas import GOLD
 
+# Columns that tell the items of one order apart, to spread a hot order.
+ITEM_IDENTITY = ["order_id", "order_item_id", "product_id"]
+
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """The declared columns in order and type. A value that does not fit its type is an error."""
@@ -58,32 +61,34 @@ def seller_stats(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> Dat
     """Per seller, over every (item, review) pair of the same order: pairs, on-time share, score.
 
     Reviews are neither deduplicated nor filtered here, so an item of an order with two reviews
-    counts twice. The pairs are never formed: both sides are reduced to counts and sums per order
-    and multiplied, so an order with many items and many reviews stays one row per seller.
+    counts twice. The pairs are never formed: reviews are reduced to counts and sums per order, each
+    item carries its order's totals, and sellers add them up. Item rows cross the network once.
     """
-    sold = items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("n_items"))
     reviewed = reviews.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_reviews"),
         F.count("review_score").alias("n_scores"),
         F.sum("review_score").alias("sum_scores"),
     )
-    pairs = F.col("n_items") * F.coalesce(F.col("n_reviews"), F.lit(1))
+    pairs = F.coalesce(F.col("n_reviews"), F.lit(1))
     per_order = (
-        sold.join(orders.select("order_id", "is_late"), "order_id")
+        orders.select("order_id", "is_late")
         .join(reviewed, "order_id", "left")
         .select(
-            "seller_id",
+            "order_id",
             pairs.alias("pairs"),
             F.when(F.col("is_late").isNotNull(), pairs).alias("timed"),
             (pairs * (1 - F.col("is_late"))).alias("on_time"),
-            (F.col("n_items") * F.col("n_scores")).alias("scored"),
-            (F.col("n_items") * F.col("sum_scores")).alias("score"),
+            "n_scores",
+            "sum_scores",
         )
     )
-    return per_order.groupBy("seller_id").agg(
+    sold = items.select("seller_id", *ITEM_IDENTITY)
+    hot_orders = hot_keys(items, "order_id", ITEM_IDENTITY)
+    rated = spread_join(sold, per_order, hot_orders, "order_id", ITEM_IDENTITY)
+    return rated.groupBy("seller_id").agg(
         F.sum("pairs").alias("total_orders"),
         ratio(F.sum("on_time"), F.sum("timed")).alias("on_time_rate"),
-        ratio(F.sum("score"), F.sum("scored")).alias("avg_review_score"),
+        ratio(F.sum("sum_scores"), F.sum("n_scores")).alias("avg_review_score"),
     )
 
 
@@ -172,9 +177,8 @@ def fact_orders(
     known_items = items.join(dims["dim_sellers"].select("seller_id"), "seller_id").join(
         dims["dim_products"].select("product_id"), "product_id"
     )
-    identity = ["order_id", "order_item_id", "product_id"]
-    hot_orders = hot_keys(items, "order_id", identity)
-    facts = spread_join(known_items, known_orders, hot_orders, "order_id", identity)
+    hot_orders = hot_keys(items, "order_id", ITEM_IDENTITY)
+    facts = spread_join(known_items, known_orders, hot_orders, "order_id", ITEM_IDENTITY)
     return conform(
         facts.withColumns(
             {

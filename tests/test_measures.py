@@ -106,6 +106,16 @@ def test_repeat_rate_by_rows_and_by_orders(star):
     assert rows(got) == [(2 / 3, 1 / 3, 3)]
 
 
+def test_sketched_counts_are_close(star):
+    model = star(*[line(f"o{i % 900}", i, customer=f"u{i % 200}") for i in range(2000)])
+    got = evaluate(
+        model, ["total_orders_approx", "total_customers_approx", "total_orders", "total_customers"]
+    ).first()
+    assert (got["total_orders"], got["total_customers"]) == (900, 200)
+    assert abs(got["total_orders_approx"] - 900) <= 45
+    assert abs(got["total_customers_approx"] - 200) <= 10
+
+
 def test_clv_averages_customers_with_revenue(star):
     model = star(
         line("o1", 1, paid="10.00"), line("o1", 2, paid="10.00"), line("o2", 1, paid="20.00"),
