@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
 SAMPLE_ONE_IN = 1_000
+MOST_HOT_KEYS = 10_000
 SPREAD = 256
 
 
@@ -30,18 +31,20 @@ def hot_keys(
     """Keys that carry about ``hot_rows`` rows or more, found from a 1-in-``one_in`` look.
 
     Which rows are looked at depends only on their ``identity`` columns, so every evaluation finds
-    the same keys, also after a lost executor. There can be at most (rows / hot_rows) such keys.
-    The look decides how a key is joined, never what the join returns.
+    the same keys, also after a lost executor. A hot key also holds at least one in
+    ``MOST_HOT_KEYS`` of the rows seen, so there are never more than that many, whatever the size
+    of ``df``. The look decides how a key is joined, never what the join returns.
     """
     seen = F.pmod(F.xxhash64(*identity), F.lit(one_in)) == 0
     enough = max(1, hot_rows // one_in)
-    return (
+    counts = (
         df.where(F.col(key).isNotNull() & seen)
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_seen"))
-        .where(F.col("_seen") >= enough)
-        .select(key, F.lit(True).alias("_hot"))
     )
+    all_seen = counts.agg(F.sum("_seen")).scalar()
+    hot = (F.col("_seen") >= enough) & (F.col("_seen") * MOST_HOT_KEYS >= all_seen)
+    return counts.where(hot).select(key, F.lit(True).alias("_hot"))
 
 
 def spread_join(
