@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import simhash
+from parcelscope.llm import byte_pairs, quality, simhash
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.text import table
 
+TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -23,6 +24,34 @@ def query(fn: Query) -> Query:
     return run
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file, installed with the public tokenizers package on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query
+def op3_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_path()
+    ids = byte_pairs.encoded(table(spark, folder, "documents"), path, keep=["doc_id"])
+    rows = byte_pairs.decoded(ids, path)
+    return rows.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.with_quality(table(spark, folder, "documents"), carry=["doc_id"])
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
