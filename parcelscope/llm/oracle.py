@@ -2,4 +2,37 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_MIXING = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len({_WORDS}) AS size,
+         md5(concat_ws('|', 'mix-1', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS key
+  FROM documents),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS most,
+         [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1)::BIGINT % 3 + 1]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, ((SELECT sum(source_size)::DOUBLE * 150 / 100 FROM per)
+             - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER o AS nth
+  FROM per WINDOW o AS (ORDER BY most::DOUBLE / weight, encode(source) NULLS LAST)),
+goals AS (
+  SELECT source, source_size,
+         least((SELECT arg_min(level, nth) FROM levels WHERE level * weight <= most) * weight, most::DOUBLE) AS target
+  FROM levels),
+streams AS (
+  SELECT s.*, g.source_size, g.target,
+         CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size)::BIGINT ELSE 0 END AS epochs,
+         sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id) - size AS before
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, source, size::BIGINT AS size, source_size, target,
+       (epochs * size + greatest(0, least(size, floor(target - epochs * source_size)::BIGINT - before)))::BIGINT AS taken
+FROM streams
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_mixing": _MIXING,
+}

@@ -35,7 +35,7 @@ PRECISION = 6  # significant bits of a bucket
 MEASURES = {
     "symbols": ("n_symbols * 1000 DIV n_words", 100, False),
     "dup_lines": ("n_dup_lines * 1000 DIV n_lines", 400, False),
-    "repeats": ("n_repeat_words * 1000 DIV n_words", 250, False),
+    "repeats": ("n_repeat_words * 1000 DIV n_words", 290, False),
     "word_length": ("word_chars * 100 DIV n_words", 130, True),
 }
 BASE = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
@@ -189,3 +189,18 @@ def with_quality(docs: DataFrame, text: str = "text", language: str = "lang", so
     rows = staged(rows, "quality-counts")
     limits = staged(fences(staged(sketches(rows, language, source), "quality-sketch")), "quality-fences")
     return judged(rows, limits, language, source).select(*[F.col(f"`{c}`") for c in carry], *made)
+
+
+def of_good_quality(docs: DataFrame, text: str = "text", language: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns.
+
+    Texts are measured twice, once for the sketches and once for the verdicts, rather than written
+    in between: measuring costs less than another copy of all texts.
+    """
+    groups = [F.col(f"`{c}`") for c in dict.fromkeys([text, language, source])]
+    narrow = measured(docs.select(*groups), text)
+    limits = staged(fences(staged(sketches(narrow, language, source), "quality-sketch")), "quality-fences")
+    clash = [c for c in docs.columns if c in [*BASE, "base_failed", "kept"]]
+    whole = docs.select("*", F.struct("*").alias("_row")) if clash else docs
+    verdicts = judged(measured(whole.drop(*clash), text), limits, language, source).where("kept")
+    return verdicts.select("_row.*") if clash else verdicts.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import byte_pairs, quality, simhash
+from parcelscope.llm import byte_pairs, mixing, pseudonyms, quality, simhash
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.text import table
 
+# A key for tests and demonstrations; production passes its own to the operator.
+PSEUDONYM_KEY = "not a secret"
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,7 +54,19 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, folder, "documents"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pseudonyms.with_pseudonyms(table(spark, folder, "documents"), PSEUDONYM_KEY)
+    return rows.select("doc_id", "text", "n_chars", "pii_kinds")
