@@ -33,6 +33,43 @@ SELECT doc_id, source, size::BIGINT AS size, source_size, target,
 FROM streams
 """
 
+_URL_RULES = r"""
+WITH parts AS (
+  SELECT page_id, url,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages),
+rules(host_rule, path_rule, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fits AS (
+  SELECT host, path, arg_max(host_rule || path_rule, len(host_rule || path_rule)) AS rule,
+         arg_max(action, len(host_rule || path_rule)) AS action
+  FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
+    ON (host = host_rule OR ends_with(host, '.' || host_rule)) AND starts_with(path, path_rule)
+  GROUP BY host, path)
+SELECT page_id, p.host, p.path, rule,
+       coalesce(action, CASE WHEN regexp_matches(p.host || p.path,
+         '(^|[./]|[^A-Za-z0-9_%.-])(ads|ads-track|adserver|doubleclick|cheap-pills|casino)($|[./]|[^A-Za-z0-9_%.-])')
+         THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
+"""
+
+_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('### ' || role || ': ' || regexp_replace(text, '(\\*)(###|</turn>)', '\\\1\2', 'g')) + 9)::BIGINT
+         AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_url_rules": _URL_RULES,
+    "op6_chat": _CHAT,
     "op7_mixing": _MIXING,
 }

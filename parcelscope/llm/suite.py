@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import byte_pairs, mixing, pseudonyms, quality, simhash
+from parcelscope.llm import byte_pairs, chat, mixing, pseudonyms, quality, simhash, url_rules
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.text import table
 
@@ -33,6 +33,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query
+def op1_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op3_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path()
@@ -54,6 +60,16 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string"
+    )
+    return chat.digests(chat.conversations(rows.unionByName(extra)))
+
+
 @query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mixed(table(spark, folder, "documents"))
