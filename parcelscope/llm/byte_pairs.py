@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Texts that are tokenized together, and distinct pieces a worker remembers.
 TEXTS = 128
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 NONE = np.iinfo(np.int64).max
 
 

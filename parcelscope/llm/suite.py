@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import byte_pairs, chat, mixing, pseudonyms, quality, simhash, url_rules
+from parcelscope.llm import byte_pairs, chat, licenses, mixing, neighbours, pseudonyms, quality, simhash, url_rules
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.text import table
 
@@ -39,6 +39,11 @@ def op1_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 @query
 def op3_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path()
@@ -60,6 +65,11 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 @query
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
