@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import byte_pairs, chat, licenses, mixing, neighbours, pseudonyms, quality, simhash, url_rules
+from parcelscope.llm import byte_pairs, chat, licenses, mixing, neighbours, pseudonyms, quality, simhash, url_rules, wrappers
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.text import table
 
@@ -96,3 +96,9 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     rows = pseudonyms.with_pseudonyms(table(spark, folder, "documents"), PSEUDONYM_KEY)
     return rows.select("doc_id", "text", "n_chars", "pii_kinds")
+
+
+@query
+def op10_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    rows = wrappers.with_main_text(table(spark, folder, "pages"), carry=["page_id", "url"])
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
