@@ -14,6 +14,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count, islice
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,22 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(shifted)) for b in range(256)]
 
 
+_SPLIT = regex.compile(SPLIT)
+
+
+def split(text: str) -> list[str]:
+    """The words of a text without special tokens.
+
+    Whether a code point that Unicode got lately is a letter depends on a library's tables. Texts
+    with code points unknown to Python are therefore cut by the tokenizer library's own rule.
+    """
+    if text.isprintable() or not any(category(c) == "Cn" for c in text):
+        return _SPLIT.findall(text)
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
+
+
 class Merges:
     """The merge table of a byte-level BPE file, and the words encoded so far."""
 
@@ -65,7 +82,6 @@ class Merges:
         self.bytes_of |= {i: content.encode() for content, i in self.special.items()}
         marks = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, marks))) if marks else None
-        self.split = regex.compile(SPLIT)
         self._forget()
 
     def _forget(self) -> None:
@@ -77,13 +93,13 @@ class Merges:
     def _words(self, text: str) -> list[str]:
         """The strings that merges stay within."""
         if self.cut is None or self.cut.search(text) is None:
-            return self.split.findall(text)
+            return split(text)
         words, at = [], 0
         for mark in self.cut.finditer(text):
-            words += self.split.findall(text[at : mark.start()])
+            words += split(text[at : mark.start()])
             words.append(mark.group())
             at = mark.end()
-        return words + self.split.findall(text[at:])
+        return words + split(text[at:])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the offsets of each text in it.
@@ -127,8 +143,7 @@ class Merges:
             return
         words: dict[str, int] = defaultdict(count().__next__)
         raw = [piece[1:] if piece[:1] == " " else " " + piece for piece in new]
-        cut = self.split.findall
-        parts = [[r] if r in self.special or r[1:].isalpha() and (r[0] == " " or r[0].isalpha()) else cut(r) for r in raw]
+        parts = [[r] if r in self.special or r[1:].isalpha() and (r[0] == " " or r[0].isalpha()) else split(r) for r in raw]
         code = np.array([words[w] for part in parts for w in part], dtype=np.int64)
         ids, sizes = self.merge(list(words))
         start = np.concatenate([[0], np.cumsum(sizes)])

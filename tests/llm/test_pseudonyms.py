@@ -1,0 +1,111 @@
+"""Pseudonyms against a plain Python Feistel network, and what they promise."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from datetime import date, timedelta
+
+from parcelscope.llm import pseudonyms
+
+KEY = "k"
+SCHEMA = "doc_id long, text string, n_chars int"
+
+
+def plain_permuted(values, sizes, kind):
+    half = len(values) // 2
+    parts, own = [values[:half], values[half:]], [sizes[:half], sizes[half:]]
+    for r in range(8):
+        a, b = (0, 1) if r % 2 == 0 else (1, 0)
+        seen = "|".join([KEY, kind, str(r), ",".join(map(str, parts[b]))])
+        parts[a] = [
+            (x + int(hashlib.sha256(f"{seen}|{i}".encode()).hexdigest()[:12], 16)) % own[a][i] if own[a][i] > 1 else x
+            for i, x in enumerate(parts[a])
+        ]
+    return parts[0] + parts[1]
+
+
+def plain_text(text, kind, fixed=()):
+    hexed = re.fullmatch("(?=.*[0-9])(?=.*[a-f])[0-9a-f]+", text) is not None
+    classes = ["0123456789abcdef" if hexed else next((c for c in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if x in c), x) for x in text]
+    classes = [x if i in fixed else c for i, (x, c) in enumerate(zip(text, classes))]
+    values = [c.index(x) if len(c) > 1 else 0 for x, c in zip(text, classes)]
+    values = [int(x) if i in fixed else v for i, (x, v) in enumerate(zip(text, values))]
+    done = plain_permuted(values, [len(c) for c in classes], kind)
+    return "".join(c[v] if len(c) > 1 else c for c, v in zip(classes, done))
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+
+
+def plain_card(number):
+    front = plain_text(number[:-1], "card", fixed=(0,))
+    return front + next(c for c in "0123456789" if luhn(front + c))
+
+
+def plain_day(day):
+    n = (day - date(1800, 1, 1)).days
+    low, high = plain_permuted([n % 189, n // 189], [189, 773], "date")
+    return date(1800, 1, 1) + timedelta(low + high * 189)
+
+
+def plain_ssn(number):
+    a, g, s = map(int, number.split("-"))
+    a, g, s = plain_permuted([a - (2 if a > 666 else 1), g - 1, s - 1], [898, 99, 9999], "ssn")
+    return f"{a + 1 + (a + 1 >= 666):03d}-{g + 1:02d}-{s + 1:04d}"
+
+
+def replaced(spark, texts):
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], SCHEMA)
+    rows = pseudonyms.with_pseudonyms(docs.selectExpr("*", "'x' AS pii_kinds"), KEY).collect()
+    return [(r["text"], r["n_chars"], r["pii_kinds"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_every_kind(spark):
+    cases = [
+        ("card", "4952935900253052", plain_card),
+        ("card", "4952-9359-0025-3052", plain_card),
+        ("email", "the.72@mail3.example.com", lambda v: plain_text("the.72", "email") + "@mail3.example.com"),
+        ("ip", "169.122.221.182", lambda v: ".".join(map(str, plain_permuted([169, 122, 221, 182], [256] * 4, "ip")))),
+        ("phone", "+1 (017) 555-7713", lambda v: "+1 " + plain_text("(017) 555-7713", "phone")),
+        ("secret", 'token = "b44e15e09fd311c3cf31', lambda v: 'token = "' + plain_text("b44e15e09fd311c3cf31", "secret")),
+        ("secret", 'TOKEN = "9233A8ECF7C5B09FE594', lambda v: 'TOKEN = "' + plain_text("9233A8ECF7C5B09FE594", "secret")),
+        ("ssn", "123-45-6789", plain_ssn),
+        ("ssn", "899-99-9999", plain_ssn),
+        ("date", "1980-02-29", lambda v: plain_day(date(1980, 2, 29)).isoformat()),
+        ("date", "12/31/1999", lambda v: plain_day(date(1999, 12, 31)).strftime("%m/%d/%Y")),
+        ("date", "01.07.2024", lambda v: plain_day(date(2024, 7, 1)).strftime("%d.%m.%Y")),
+    ]
+    got = replaced(spark, [f"see {v}, or {v}!!" for _, v, _ in cases])
+    for (kind, value, plain), (text, n_chars, kinds) in zip(cases, got):
+        assert text == f"see {plain(value)}, or {plain(value)}!!"
+        assert kinds == [kind, kind] and n_chars == len(text) and value not in text
+
+
+def test_look_alikes_and_odd_texts_stay(spark):
+    texts = [
+        None, "", "plain", "5927243074273351", "300.1.1.1", "1.2.3.4.5", "29.02.1981", "1980-13-01", "000-12-3456", "666-12-3456",
+        "version 4.0.", "12345", "a@b", "token = \"short\"", "1700-01-01", "x" * 200_000, "é@ü = : 1",
+    ]
+    assert replaced(spark, texts) == [(t, len(t or ""), []) for t in texts]
+
+
+def test_matches_at_both_ends_and_in_a_row(spark):
+    (text, _, kinds), = replaced(spark, ["10.0.0.1 10.0.0.2\n10.0.0.1"])
+    first, second, third = text.replace("\n", " ").split(" ")
+    assert first == third != second and kinds == ["ip"] * 3
+
+
+def test_permutation_of_small_spaces(spark):
+    """All values of a small format stay distinct."""
+    ips = [f"10.0.{a}.{b}" for a in range(4) for b in range(64)]
+    got = {t for t, _, _ in replaced(spark, ips)}
+    assert len(got) == len(ips)
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    out = pseudonyms.with_pseudonyms(docs, KEY)
+    assert out.columns == ["doc_id", "text", "n_chars", "pii_kinds"] and out.count() == 0

@@ -1,0 +1,82 @@
+"""Quality counts against plain Python, and the fences on made-up groups."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from parcelscope.llm import quality
+from parcelscope.llm.text import table
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def plain(text):
+    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", text or "") if w]
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if line.strip(" \t\n\x0b\x0c\r"):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = {p for i, w in enumerate(windows) if often[w] > 1 for p in range(i, i + 8)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered)
+
+
+def counts(df):
+    return {
+        r["doc_id"]: (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"])
+        for r in df.collect()
+    }
+
+
+def test_counts(spark):
+    run = " ".join(f"w{i}" for i in range(9))
+    texts = [
+        None, "", " \n ", "one", "a # b *$%&|<> c", "x\nx\n\n\n x\ny\nx", "ü ß 🎉 é", f"{run} gap {run} end",
+        "a b " * 30, "same " * 8, "same " * 9, f"{run}\n{run}", "w " * 20_000, "\x0b\x0c\r", " ".join(f"v{i}" for i in range(40)),
+    ]
+    rows = [(i, t, None, "s") for i, t in enumerate(texts)]
+    got = counts(quality.measured(spark.createDataFrame(rows, SCHEMA)))
+    for i, text in enumerate(texts):
+        n, *rest = plain(text)
+        assert got[i] == (n, *rest, n < 20 or 100 * rest[-1] > 30 * n), repr(text)[:60]
+
+
+def test_counts_of_the_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    got = counts(quality.measured(docs))
+    assert {i: v[:5] for i, v in got.items()} == {r["doc_id"]: plain(r["text"]) for r in docs.collect()}
+
+
+def document(i, junk=False):
+    words = [f"word{i * 31 % 97 + k}" for k in range(40)]
+    return " ".join(w + "%%%" for w in words) if junk else " ".join(words)
+
+
+def test_fences_follow_the_group(spark):
+    # symbols are usual in source "code" and odd in "prose"; a small source follows its language
+    rows = [(i, document(i), "en", "prose") for i in range(120)]
+    rows += [(200 + i, document(i, junk=True), "en", "code") for i in range(120)]
+    rows += [(400, document(1, junk=True), "en", "prose"), (401, document(2), "de", None), (402, document(3), None, "tiny")]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "7 AS n_words")
+    kept = {r["doc_id"]: r["kept"] for r in quality.with_quality(docs, carry=["doc_id"]).collect()}
+    assert len(kept) == len(rows)
+    assert kept == {r[0]: r[0] != 400 for r in rows}
+    filtered = quality.of_good_quality(docs)
+    assert filtered.columns == docs.columns
+    assert {tuple(r) for r in filtered.collect()} == {(*r, 7) for r in rows if r[0] != 400}
+
+
+def test_bucket_error_is_one_part_in_32(spark):
+    values = [*range(0, 3000, 7), 10**9, 2**40 + 12345]
+    rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.bucket(quality.F.col("v")).alias("b"))
+    for r in rows.collect():
+        assert r["b"] <= r["v"] and (r["v"] - r["b"]) * 32 <= r["v"]
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert quality.with_quality(docs).count() == 0
+    assert quality.of_good_quality(docs).count() == 0
