@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelscope.llm.components import components
+from parcelscope.llm.text import own_name
 from parcelscope.settings import staged
 
 SEED = 42
@@ -258,26 +259,27 @@ def near_duplicates(
 def without_near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", list_most: int = LIST_MOST
 ) -> DataFrame:
-    """``docs`` with one row of each class: the one with the smallest id.
+    """``docs`` with one row of each class: one with its smallest id (of a class without ids, any).
 
-    Only ids travel to the decision; texts are read once more to be filtered. Rows that repeat an
-    id are rare, so only those are compared as rows. Classes without any id keep one row.
+    Only ids travel to the decision: texts are read once more and lose the ids that go, which are
+    fewer than those that stay. Rows without an id of their own (null, or one that other rows have
+    too) are told apart by fingerprint.
     """
     found = staged(near_duplicates(docs, id, text, list_most), "simhash-found")
     chosen = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    per_class = staged(found.where(chosen).groupBy("doc_id", "root").count(), "simhash-kept")
-    key = F.col(f"`{id}`")
-    kept_ids = per_class.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id"))
-    kept = docs.join(kept_ids, key == F.col("_kept_id"), "left_semi")
-    twice = per_class.where("doc_id IS NOT NULL AND count > 1").select(F.col("doc_id").alias("_kept_id"))
-    if not twice.isEmpty():
-        once = kept.join(twice, key == F.col("_kept_id"), "left_semi").dropDuplicates([id])
-        kept = kept.join(twice, key == F.col("_kept_id"), "left_anti").unionByName(once)
-    if not per_class.where("doc_id IS NULL").isEmpty():
-        nameless = with_fingerprint(docs.where(key.isNull()), "_fp", text)
-        of_class = staged(
-            found.where(chosen & F.col("doc_id").isNull()).select(F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct(),
-            "simhash-nameless",
-        )
-        kept = kept.unionByName(nameless.join(of_class, "_fp").dropDuplicates(["_root"]).drop("_fp", "_root"))
-    return kept
+    shared = staged(
+        found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id"), "simhash-shared"
+    )
+    gone = found.where(~chosen & F.col("doc_id").isNotNull()).select("doc_id")
+    gone = staged(gone.unionByName(shared.where("doc_id IS NOT NULL")).distinct(), "simhash-gone")
+    key, gone_id = F.col(f"`{id}`"), gone["doc_id"]
+    kept = docs.where(key.isNotNull()).join(gone, docs[f"`{id}`"] == gone_id, "left_anti")
+    if shared.isEmpty():
+        return kept
+    fp, root = own_name(docs, "_fp"), own_name(docs, "_root")
+    nameless = docs.join(shared, docs[f"`{id}`"].eqNullSafe(shared["doc_id"]), "left_semi")
+    nameless = with_fingerprint(nameless, fp, text)
+    stays = found.where(chosen).select("doc_id", "fp", F.col("root").alias(root)).distinct()
+    same = nameless[f"`{id}`"].eqNullSafe(stays["doc_id"]) & (nameless[fp] == stays["fp"])
+    once = nameless.join(stays, same).dropDuplicates([root])
+    return kept.unionByName(once.select(*[nameless[f"`{c}`"] for c in docs.columns]))

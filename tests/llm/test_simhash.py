@@ -126,6 +126,12 @@ def test_one_document_of_each_class_stays(spark):
     assert sorted(kept.select("doc_id").collect(), key=str) == sorted([(3,), (7,), (9,), (None,)], key=str)
 
 
+def test_rows_that_share_an_id_are_told_apart_by_text(spark):
+    rows = [(1, "a b c d e", "en", "s", 1), (2, "a b c d e", "en", "s", 1), (2, "f g h i j k", "en", "s", 1), (2, "f g h i j k", "en", "s", 1)]
+    kept = simhash.without_near_duplicates(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "0 AS _fp", "0 AS doc"))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "a b c d e"), (2, "f g h i j k")]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(docs).count() == 0
