@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
 SAMPLE_ONE_IN = 1_000
-MOST_HOT_KEYS = 10_000
-SPREAD = 256
+# A hot-key list of up to this many rows (key and number, well under a megabyte) is sent to every
+# task; a longer one is looked up by a spread join.
+MOST_LISTED = 10_000
+LOOKUPS = 1_024
+# Null keys of a left join match nothing and are dealt over this many salts.
+NULL_SALTS = 1 << 20
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -28,23 +32,34 @@ def hot_keys(
     df: DataFrame, key: str, identity: list[str], hot_rows: int = HOT_ROWS,
     one_in: int = SAMPLE_ONE_IN,
 ) -> DataFrame:
-    """Keys that carry about ``hot_rows`` rows or more, found from a 1-in-``one_in`` look.
+    """(key, _salts): keys that carry about ``hot_rows`` rows or more, found from a 1-in-``one_in``
+    look, and the number of tasks that leaves each about ``hot_rows`` of them.
 
     Which rows are looked at depends only on their ``identity`` columns, so every evaluation finds
-    the same keys, also after a lost executor. A hot key also holds at least one in
-    ``MOST_HOT_KEYS`` of the rows seen, so there are never more than that many, whatever the size
-    of ``df``. The look decides how a key is joined, never what the join returns.
+    the same keys, also after a lost executor. There is at most one hot key per ``hot_rows`` rows.
+    The look decides how a key is joined, never what the join returns.
     """
     seen = F.pmod(F.xxhash64(*identity), F.lit(one_in)) == 0
-    enough = max(1, hot_rows // one_in)
-    counts = (
+    salts = F.ceil(F.col("_seen") * one_in / hot_rows).cast("int")
+    return (
         df.where(F.col(key).isNotNull() & seen)
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_seen"))
+        .where(F.col("_seen") >= max(1, hot_rows // one_in))
+        .select(key, F.greatest(salts, F.lit(1)).alias("_salts"))
     )
-    all_seen = counts.agg(F.sum("_seen")).scalar()
-    hot = (F.col("_seen") >= enough) & (F.col("_seen") * MOST_HOT_KEYS >= all_seen)
-    return counts.where(hot).select(key, F.lit(True).alias("_hot"))
+
+
+def _salted(df: DataFrame, hot: DataFrame, key: str, identity: list[str] | None, listed: bool) -> DataFrame:
+    """``df`` with the ``_salts`` of its key, null for other keys."""
+    if listed:
+        return df.join(F.broadcast(hot), key, "left")
+    if identity is None:  # one row or few per key: nothing to spread
+        return df.join(hot, key, "left")
+    # the list is copied per lookup salt, so that not even the lookup gathers a hot key
+    look = F.pmod(F.xxhash64(F.lit(2), *identity), F.lit(LOOKUPS)).cast("int")
+    copies = hot.withColumn("_look", F.explode(F.sequence(F.lit(0), F.lit(LOOKUPS - 1))))
+    return df.withColumn("_look", look).join(copies, [key, "_look"], "left").drop("_look")
 
 
 def spread_join(
@@ -54,28 +69,40 @@ def spread_join(
     key: str,
     identity: list[str],
     how: str = "inner",
-    spread: int = SPREAD,
+    most_listed: int = MOST_LISTED,
 ) -> DataFrame:
-    """``many`` joined to ``one`` on ``key`` with the ``hot`` keys spread over ``spread`` tasks.
-
-    Rows of a hot key get a salt from their own ``identity`` columns and meet one of ``spread``
-    copies of the matching ``one`` rows; all other keys join as usual with salt 0. For joins whose
-    right side is itself computed on the join key: adaptive execution splits a skewed partition
-    only where both join inputs come straight from a shuffle. ``hot`` comes from ``hot_keys``,
-    whose size is bounded. ``how`` is inner or left.
+    """``many`` joined to ``one`` on ``key`` with the ``hot`` keys spread over their ``_salts`` tasks.
+
+    Rows of a hot key get a salt from their own ``identity`` columns and meet one of as many copies
+    of the matching ``one`` rows; all other keys join with salt 0. For joins whose right side is
+    itself computed on the join key: adaptive execution splits a skewed partition only where both
+    join inputs come straight from a shuffle. The list of ``hot_keys`` is measured first, at most
+    ``most_listed + 1`` of its rows: none plans no look-up, a short list is broadcast, a longer one
+    is looked up by a join that is spread itself. ``how`` is inner or left; rows of a left join
+    with a null key, which match nothing, are dealt out evenly.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join cannot be {how}")
-    hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(F.lit(1), *identity), F.lit(spread)).cast("int")
-    salted = many.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-        F.array(F.lit(0))
+    found = hot.limit(most_listed + 1).collect()
+    row = F.xxhash64(F.lit(1), *identity)
+    null_salt = F.pmod(row, F.lit(NULL_SALTS)).cast("int")
+    if not found:
+        if how == "inner":
+            return many.join(one, key)
+        nulls_spread = many.withColumn("_salt", F.when(F.col(key).isNull(), null_salt).otherwise(0))
+        # zero, but not as a literal, which the optimizer would take out of the join's keys
+        zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+        return nulls_spread.join(one.withColumn("_salt", zero), [key, "_salt"], how).drop("_salt")
+    listed = len(found) <= most_listed
+    if listed:
+        hot = many.sparkSession.createDataFrame(found, hot.schema)
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(row, F.col("_salts")).cast("int"))
+    salted = _salted(many, hot, key, identity, listed).withColumn(
+        "_salt", F.coalesce(salt, F.when(F.col(key).isNull(), null_salt).otherwise(0))
     )
-    copied = one.join(hot, key, "left").withColumn("_salt", F.explode(copies))
-    return salted.drop("_hot").join(copied.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    copied = _salted(one, hot, key, None, listed).withColumn("_salt", F.explode(copies))
+    return salted.drop("_salts").join(copied.drop("_salts"), [key, "_salt"], how).drop("_salt")
 
 
 def totals_side_by_side(*frames: DataFrame) -> DataFrame:

@@ -464,11 +464,23 @@ _SQL: dict[str, str] = {
         FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1998-06-30'""",
     "in_full_load_roundtrip": _with("SELECT * FROM r_geolocation"),
     "in_incremental_load": _with(
-        f"""SELECT order_id, order_status,
-                   {_clock('order_purchase_timestamp')} AS order_purchase_timestamp,
-                   {_clock('order_delivered_customer_date')} AS order_delivered_customer_date
+        f"""SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in _ORDER_CLOCKS.items())})
             FROM r_orders WHERE order_purchase_timestamp IS NOT NULL"""
     ),
+    "in_rejects": _with(
+        f"""SELECT order_id, {_clock('order_purchase_timestamp')} AS order_purchase_timestamp,
+                   CASE WHEN order_purchase_timestamp IS NULL THEN 'undated' ELSE 'future' END AS reason
+            FROM r_orders
+            WHERE order_purchase_timestamp IS NULL
+               OR CAST(order_purchase_timestamp AS DATE) > DATE '1998-06-30'"""
+    ),
+    "in_run_report": _with(
+        """
+        SELECT 1 AS sequence, 'sellers' AS table_name, count(*) AS rows_loaded, 'success' AS status FROM r_sellers
+        UNION ALL SELECT 2, 'products', count(*), 'success' FROM r_products
+        UNION ALL SELECT 3, 'product_category_translation', count(*), 'success'
+                  FROM r_product_category_translation"""
+    ),
     "in_run_log": _with(
         """
         SELECT 'sellers' AS table_name, count(*) AS rows_loaded, 'success' AS status,
@@ -503,6 +515,7 @@ _SQL: dict[str, str] = {
     "sv_customers": _silver("customers"),
     "sv_sellers": _silver("sellers"),
     "sv_products": _silver("products"),
+    "sv_stored_tables": _silver("customers"),
     "sv_geolocation": _silver(
         "geolocation",
         geolocation_lat="round(geolocation_lat, 6)",
@@ -643,7 +656,9 @@ _SQL: dict[str, str] = {
         """
         SELECT seller_state, sum(price)::DOUBLE AS sum_price,
                sum(freight_value)::DOUBLE AS sum_freight_value, sum(is_late)::BIGINT AS sum_is_late,
-               sum(is_delivered)::BIGINT AS sum_is_delivered
+               sum(is_delivered)::BIGINT AS sum_is_delivered,
+               sum(review_score)::DOUBLE AS sum_review_score,
+               sum(delivery_days)::DOUBLE AS sum_delivery_days, sum(days_late)::DOUBLE AS sum_days_late
         FROM m_fact GROUP BY seller_state"""
     ),
     "me_revenue_by_category_filtered": _with(
@@ -704,6 +719,7 @@ _OUTPUT: dict[str, dict[str, str]] = {
     "sv_orders": {"delivery_days": "DOUBLE", "days_late": "DOUBLE"},
     "sv_order_reviews": {"review_score": "DOUBLE"},
     "sv_customers": {"customer_zip_code_prefix": "DOUBLE"},
+    "sv_stored_tables": {"customer_zip_code_prefix": "DOUBLE"},
     "sv_products": {"product_photos_qty": "DOUBLE"},
     "gd_dim_date": {"full_date": "VARCHAR", "year": "DOUBLE"},
     "gd_seller_stats": {"total_orders": "DOUBLE"},
@@ -729,6 +745,18 @@ _OUTPUT: dict[str, dict[str, str]] = {
     "rl_region": {"year": "DOUBLE", "total_orders": "DOUBLE"},
 }
 
+_SQL["sv_managed_geolocation"] = _SQL["sv_geolocation"]
+_SQL["gd_full_refresh"] = " UNION ALL ".join(
+    [
+        "SELECT 'dim_date' AS table_name, count(*) AS n_rows "
+        "FROM range(DATE '1995-01-01', DATE '2004-01-01', INTERVAL 1 DAY)",
+        *[
+            f"SELECT '{t}', count(*) FROM ({_SQL[f'gd_{t}']})"
+            for t in ("dim_customers", "dim_sellers", "dim_products", "fact_orders")
+        ],
+    ]
+)
+
 ORACLES: dict[str, str] = {
     name: f"SELECT * REPLACE ({_output(_OUTPUT[name])}) FROM ({sql})" if name in _OUTPUT else sql
     for name, sql in _SQL.items()

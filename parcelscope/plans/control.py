@@ -6,10 +6,11 @@ its latest, so nothing needs UPDATE and a half-done job leaves no half-changed r
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,29 +95,43 @@ class Ledger:
         self._append(entry.withColumn("run_timestamp", F.current_timestamp()), "run_log")
 
     def runs(self, table: str | None = None) -> DataFrame:
-        """The run report: table, rows, status and time, oldest first."""
+        """The run report: a running number from the oldest run on, table, rows, status and time.
+
+        The order of runs is data, as a DataFrame's order does not outlive a join. The window runs
+        over the log, which has a row per table and run.
+        """
         log = self._table("run_log")
         if table is not None:
             log = log.where(F.col("table_name") == table)
-        return log.select("table_name", "rows_loaded", "status", "run_timestamp").orderBy(
-            "run_timestamp"
-        )
+        oldest_first = Window.partitionBy(F.lit(0)).orderBy("run_timestamp", "run_id", "table_name")
+        return log.select(
+            F.row_number().over(oldest_first).alias("sequence"), "table_name", "rows_loaded", "status", "run_timestamp"
+        ).orderBy("sequence")
 
     # quality log
 
-    def log_quality(self, suite: DataFrame) -> DataFrame:
-        """Append a suite's rows and return them as stored."""
-        self._append(stamped(suite).select(*QUALITY_LOG.fieldNames()), "quality_log")
-        return self._table("quality_log")
+    def log_quality(self, suite: DataFrame, run_id: str | None = None) -> DataFrame:
+        """Append a suite's rows under a run id, a new one by default, and return that run's rows as
+        stored."""
+        run_id = run_id or uuid.uuid4().hex
+        rows = stamped(suite).withColumn("run_id", F.lit(run_id))
+        self._append(rows.select(*QUALITY_LOG.fieldNames()), "quality_log")
+        return self._table("quality_log").where(F.col("run_id") == run_id)
 
-    def log_cast_failures(self, table: str, counts: dict[str, int]) -> None:
+    def log_cast_failures(self, table: str, counts: dict[str, int], run_id: str | None = None) -> None:
         rows = [
             (table, f"cast_{column}", f"{n} values did not parse", n == 0)
             for column, n in counts.items()
         ]
         if rows:
-            schema = T.StructType(QUALITY_LOG.fields[:-1])
-            self.log_quality(self._rows(rows, schema))
+            schema = T.StructType(QUALITY_LOG.fields[:4])
+            self.log_quality(self._rows(rows, schema), run_id)
+
+    def log_rejects(self, table: str, counts: dict[str, int], run_id: str) -> None:
+        """How many rows a load left out, by reason."""
+        rows = [(table, f"rejected_{why}", f"{n} rows left out", False) for why, n in counts.items() if n]
+        if rows:
+            self.log_quality(self._rows(rows, T.StructType(QUALITY_LOG.fields[:4])), run_id)
 
     def _rows(self, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
         """A handful of literal rows in one file."""

@@ -37,9 +37,14 @@ def geo_by_zip(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def _with_coordinates(df: DataFrame, zip_column: str, geolocation: DataFrame) -> DataFrame:
+def _with_coordinates(
+    df: DataFrame, zip_column: str, geolocation: DataFrame, rows: DataFrame, identity: list[str]
+) -> DataFrame:
+    """Coordinates by zip prefix. ``rows`` is what ``df`` was made from, cheaper to look for popular
+    zips in; its ``identity`` column is also one of ``df``."""
     places = geo_by_zip(geolocation).withColumnRenamed("geolocation_zip_code_prefix", zip_column)
-    return df.join(places, zip_column, "left")
+    popular = hot_keys(rows, zip_column, identity)
+    return spread_join(df, places, popular, zip_column, identity, "left")
 
 
 def dim_customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
@@ -50,7 +55,9 @@ def dim_customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
         [F.col("customer_id")],
         ["customer_city", "customer_state", "customer_zip_code_prefix"],
     )
-    placed = _with_coordinates(people, "customer_zip_code_prefix", geolocation)
+    placed = _with_coordinates(
+        people, "customer_zip_code_prefix", geolocation, customers, ["customer_unique_id"]
+    )
     return conform(
         placed.withColumn("customer_key", surrogate_key(F.col("customer_unique_id"))),
         "dim_customers",
@@ -100,7 +107,9 @@ def dim_sellers(
     reviews: DataFrame,
 ) -> DataFrame:
     """One row per seller with coordinates and load-time statistics; both may be null."""
-    placed = _with_coordinates(sellers, "seller_zip_code_prefix", geolocation)
+    placed = _with_coordinates(
+        sellers, "seller_zip_code_prefix", geolocation, sellers, ["seller_id"]
+    )
     rated = placed.join(seller_stats(items, orders, reviews), "seller_id", "left")
     return conform(
         rated.withColumn("seller_key", surrogate_key(F.col("seller_id"))), "dim_sellers"

@@ -4,19 +4,25 @@ Row counts, the latest event date and unparsed values come from ``DataFrame.obse
 itself, so an extract is read once. Both load kinds can be rerun after a crash at any point:
 
 - a full load writes a new version and then points the table at it;
-- an incremental load writes into the partition named after the mark it started from. Until the
-  mark moves, a rerun starts from the same mark and replaces that partition.
+- an incremental load writes into a partition of its own run and leaves out rows whose keys are
+  stored already, so a rerun adds what is missing, or replaces its partition under the same run id.
+
+Rows that no load can place, those without an event time or dated after the run, go to a table of
+rejects, are counted in the quality log, and never move the mark.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
+from functools import reduce
+from operator import and_
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from parcelscope.plans.control import DRIFTED, FAILED, SUCCESS, Ledger
+from parcelscope.plans.control import DRIFTED, FAILED, FIRST_MARK, SUCCESS, Ledger
 from parcelscope.schemas import DATETIME, SPECS, TableSpec
 from parcelscope.sources.extracts import (
     SchemaDrift,
@@ -28,7 +34,10 @@ from parcelscope.sources.extracts import (
 from parcelscope.sources.lake import Lake
 
 LAYER = "bronze"
-FROM_MARK = "loaded_after"
+RUN = "load_run"
+REJECTS = "_rejects"
+LOOKBACK_DAYS = 7
+MODES = ("lookback", "event_date", "run_date")
 
 
 def after_mark(column: str, mark: date) -> Column:
@@ -78,7 +87,7 @@ def full_load(
         lake.refresh(rows, LAYER, table, spec.partition_by)
         count = bad.get["n_raw"]
         ledger.move_mark(table, run_date, run_id)
-        ledger.log_cast_failures(table, _bad_counts(bad.get))
+        ledger.log_cast_failures(table, _bad_counts(bad.get), run_id)
         ledger.log_run(run_id, table, label, count, SUCCESS)
     return Load(table, count, run_date)
 
@@ -90,45 +99,85 @@ def incremental_load(
     source: str | list[str],
     run_id: str,
     run_date: date,
-    mode: str = "event_date",
+    mode: str = "lookback",
     by_month: bool = False,
+    lookback_days: int = LOOKBACK_DAYS,
 ) -> Load:
-    """Append the extract's rows with an event date after the table's mark.
+    """Append the extract's rows that are not stored yet.
+
+    ``mode='lookback'`` takes rows dated from ``lookback_days`` before the mark on, so rows of the
+    mark's own day and rows delivered late are picked up. ``'event_date'`` takes rows dated after the
+    mark's day only. Both move the mark to the latest event date seen. ``'run_date'`` takes the same
+    rows as ``'event_date'`` and moves the mark to the day of the run. No mode moves it beyond the
+    run's day. In every mode a row whose key is stored already is left out.
 
-    The mark moves to the latest event date loaded (``mode='event_date'``), so rows dated before a
-    run but delivered after it are still picked up. ``mode='run_date'`` moves it to the day of the
-    run instead. ``by_month`` lays the rows out by event year and month; it must not change during
-    a table's life.
+    ``by_month`` lays the rows out by event year and month; it must not change during a table's
+    life. ``run_id`` names the partition a run writes; a repeated id replaces it.
     """
-    if mode not in ("event_date", "run_date"):
+    if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     spec = SPECS[table]
     event = spec.event_column
     label = source if isinstance(source, str) else ",".join(source)
     mark = ledger.mark(table)
+    last_seen = mark - timedelta(days=lookback_days + 1) if mode == "lookback" and mark > FIRST_MARK else mark
+    early, late = after_mark(event, last_seen), F.to_date(event) > F.lit(run_date)
     with _logged(ledger, run_id, table, label):
         raw = require_columns(read_extract(lake.spark, source, spec.multi_line), spec)
-        rows, bad = _observed(raw, spec, after_mark(event, mark))
+        typed_rows, bad = _observed(raw, spec, None)
+        seen = Observation()
+        typed_rows = typed_rows.observe(
+            seen,
+            F.count_if(F.col(event).isNull()).alias("undated"),
+            F.count_if(late).alias("future"),
+            F.max(F.when(early & ~late, F.to_date(event))).alias("latest"),
+        )
         loaded = Observation()
-        rows = rows.observe(
-            loaded, F.count(F.lit(1)).alias("n"), F.max(F.to_date(event)).alias("latest")
+        rows = _not_stored(lake, table, run_id, typed_rows.where(early & ~late), early).observe(
+            loaded, F.count(F.lit(1)).alias("n")
         )
-        partition = f"{lake.path(LAYER, table)}/{FROM_MARK}={mark.isoformat()}"
         months = {"event_year": F.year(event), "event_month": F.month(event)} if by_month else {}
-        rows.withColumns(months).write.format(lake.fmt).mode("overwrite").partitionBy(
-            *months
-        ).save(partition)
-        lake.register(LAYER, table)
-        lake.spark.catalog.refreshTable(lake.name(LAYER, table))
-        count, latest = loaded.get["n"], loaded.get["latest"]
+        _write_run(lake, rows.withColumns(months), table, run_id, tuple(months))
+        count, latest = loaded.get["n"], seen.get["latest"]
+        rejected = {"undated": seen.get["undated"], "future": seen.get["future"]}
+        if any(rejected.values()):
+            why = F.when(F.col(event).isNull(), "undated").otherwise("future")
+            out = typed(raw, spec.schema).where(F.col(event).isNull() | late)
+            out = _not_stored(lake, f"{table}{REJECTS}", run_id, out, F.lit(True), spec.schema.fieldNames())
+            _write_run(lake, out.withColumn("reason", why), f"{table}{REJECTS}", run_id, ())
         new_mark = run_date if mode == "run_date" else latest
         if new_mark is not None and new_mark > mark:
             ledger.move_mark(table, new_mark, run_id)
-        ledger.log_cast_failures(table, _bad_counts(bad.get))
+        ledger.log_cast_failures(table, _bad_counts(bad.get), run_id)
+        ledger.log_rejects(table, rejected, run_id)
         ledger.log_run(run_id, table, label, count, SUCCESS)
     return Load(table, count, max(mark, new_mark or mark))
 
 
+def _not_stored(
+    lake: Lake, table: str, run_id: str, rows: DataFrame, in_range: Column, key: list[str] | None = None
+) -> DataFrame:
+    """``rows`` without those whose key (null being a value) another run stored."""
+    if not lake.exists(LAYER, table):
+        return rows
+    key = list(key or SPECS[table].row_key)
+    stored = lake.table(LAYER, table).where((F.col(RUN) != run_id) & in_range).select(key)
+    same = [rows[c].eqNullSafe(stored[c]) for c in key]
+    return rows.join(stored, reduce(and_, same), "left_anti")
+
+
+def _write_run(lake: Lake, rows: DataFrame, table: str, run_id: str, partition_by: tuple[str, ...]) -> None:
+    path = f"{lake.path(LAYER, table)}/{RUN}={quote(run_id, safe='-_.')}"
+    rows.write.format(lake.fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    lake.register(LAYER, table)
+    lake.spark.catalog.refreshTable(lake.name(LAYER, table))
+
+
+def rejects(lake: Lake, table: str) -> DataFrame:
+    """Rows that incremental loads left out, and why."""
+    return lake.table(LAYER, f"{table}{REJECTS}").select(*SPECS[table].schema.fieldNames(), "reason")
+
+
 def bronze_table(lake: Lake, table: str) -> DataFrame:
     """A loaded bronze table without the load partition column."""
     return lake.table(LAYER, table).select(*SPECS[table].schema.fieldNames())

@@ -182,6 +182,7 @@ QUALITY_LOG = struct(
     ("result", STRING),
     ("passed", BOOL),
     ("run_timestamp", T.TimestampType()),
+    ("run_id", STRING),
 )
 
 
@@ -207,6 +208,12 @@ class TableSpec:
     def schema(self) -> T.StructType:
         return BRONZE[self.name]
 
+    @property
+    def row_key(self) -> tuple[str, ...]:
+        """What tells a row already loaded: the key, with the order where the key may repeat."""
+        more = "order_id" if not self.check_duplicates and "order_id" in BRONZE[self.name].fieldNames() else None
+        return self.key if more is None else (*self.key, more)
+
 
 SPECS: dict[str, TableSpec] = {
     spec.name: spec

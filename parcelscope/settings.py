@@ -15,8 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # ingest reports its row count from the progress of every batch of a run
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 # Fixed when the session starts. Recording a Python call site for every column expression would
 # dominate plan building.
@@ -60,10 +58,13 @@ def build_session(
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only when ``spark.checkpoint.dir`` is unset (unit tests) a local folder is made and used.
+    Where ``spark.checkpoint.dir`` is unset, a session in one process (unit tests) gets a local
+    folder; one with executors elsewhere is refused, as their local folders are not shared.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="parcelscope-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/parcelscope/{label}-{uuid.uuid4().hex}"

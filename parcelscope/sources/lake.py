@@ -72,50 +72,44 @@ class Lake:
         partition_by: tuple[str, ...] = (),
         bucket_by: tuple[int, str] | None = None,
     ) -> DataFrame:
-        """Full refresh: write a new version beside the old one, then point the table at it.
+        """Full refresh: write a new version as a table of its own, then point the view ``table`` at it.
 
-        Readers see the old rows or the new rows, never a half-written folder, and ``df`` may read
+        The view is replaced in one step after the version is complete, so readers see the old rows
+        or the new rows, also if the write fails, whatever the layout or schema; ``df`` may read
         the table it replaces. ``bucket_by`` lays the files out by one key, so later joins and
         aggregates on it need no shuffle; leave it off for keys that may be hot.
         """
-        name = self.name(layer, table)
-        path = f"{self.path(layer, table)}/{VERSION}{uuid.uuid4().hex}"
-        writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
+        name, tag = self.name(layer, table), uuid.uuid4().hex
+        version = f"{self.database(layer)}.{table}_{VERSION}{tag}"
+        writer = df.write.format(self.fmt).mode("error").partitionBy(*partition_by)
         if bucket_by is not None:
-            # bucketing lives in the catalog, so the table itself is written
             count, column = bucket_by
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            writer.bucketBy(count, column).sortBy(column).option("path", path).saveAsTable(name)
-            return self.spark.table(name)
-        writer.save(path)
-        if not self.exists(layer, table):
-            self.register(layer, table, path)
-        elif partition_by or self.spark.table(name).schema != df.schema:
-            # external table: dropping it keeps the files
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.register(layer, table, path)
-        else:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            self.spark.catalog.refreshTable(name)
+            writer = writer.bucketBy(count, column).sortBy(column)
+        writer.option("path", f"{self.path(layer, table)}/{VERSION}{tag}").saveAsTable(version)
+        if self.exists(layer, table) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            # registered by another kind of load: its files stay where they are
+            self.spark.sql(f"ALTER TABLE {name} RENAME TO {version}_before")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
         return self.spark.table(name)
 
     def drop_old_versions(self, layer: str, table: str) -> int:
-        """Delete the versions a refreshed table no longer points at. Returns how many.
+        """Delete the versions that a refreshed table's view no longer points at. Returns how many.
 
         Not part of ``refresh``: jobs that started before it may still be reading them.
         """
-        location = (
+        text = (
             self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
-            .where("col_name = 'Location'")
+            .where("col_name = 'View Text'")
             .first()["data_type"]
         )
-        current = location.rstrip("/").rsplit("/", 1)[-1]
+        current = text.rsplit(f"{table}_", 1)[-1]
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
         files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
         dropped = 0
         for status in files.listStatus(folder):
             name = status.getPath().getName()
             if current.startswith(VERSION) and name.startswith(VERSION) and name != current:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.database(layer)}.{table}_{name}")
                 dropped += bool(files.delete(status.getPath(), True))
         return dropped
 

@@ -7,13 +7,21 @@ are chosen by file instead of by event date, so late rows are never missed.
 
 from __future__ import annotations
 
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from parcelscope.schemas import TableSpec
 from parcelscope.sources.extracts import read_extract, require_columns, typed
 
 
+ADDED = "rows_added"
+EVENTS_WAIT = 60  # seconds from the end of a stream to its last event
+
+
 def stream_files(
     spark: SparkSession,
     folder: str,
@@ -47,15 +55,49 @@ def stream_extracts(spark: SparkSession, folder: str, spec: TableSpec) -> DataFr
     return typed(raw, spec.schema)
 
 
+class _Added(StreamingQueryListener):
+    """Adds up the rows that each batch hands to the sink."""
+
+    def __init__(self):
+        self.rows, self.ended = 0, Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        observed = event.progress.observedMetrics.get(ADDED)
+        self.rows += observed["n"] if observed is not None else 0
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.set()
+
+
 def append_new(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet") -> int:
-    """Append everything that arrived since the last run, then stop. Returns the rows added."""
-    query = (
-        stream.writeStream.format(fmt)
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    """Append everything that arrived since the last run, then stop. Returns the rows added.
+
+    They are observed where they reach the sink and added up batch by batch, however many batches
+    a run has; a session keeps the progress of the last few only.
+    """
+    spark = stream.sparkSession
+    added = _Added()
+    spark.streams.addListener(added)
+    try:
+        query = (
+            stream.observe(ADDED, F.count(F.lit(1)).alias("n"))
+            .writeStream.format(fmt)
+            .outputMode("append")
+            .option("path", target)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        # events of one query come in order, the end of it last
+        if not added.ended.wait(EVENTS_WAIT):
+            raise TimeoutError("the end of the stream was not reported")
+    finally:
+        spark.streams.removeListener(added)
+    return added.rows

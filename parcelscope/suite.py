@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from parcelscope.plans import analyses, gold, quality
 from parcelscope.plans.calendar import calendar, calendar_over
 from parcelscope.plans.control import Ledger
 from parcelscope.plans.gold import Gold
-from parcelscope.plans.ingest import after_mark, bronze_table, full_load, incremental_load
-from parcelscope.plans.measures import Role, evaluate, implicit_sum
+from parcelscope.plans.ingest import after_mark, bronze_table, full_load, incremental_load, rejects
+from parcelscope.plans.measures import SUMMABLE, Role, evaluate, implicit_sum
+from parcelscope.plans.pipeline import GOLD_ORDER
 from parcelscope.plans.silver import Silver
 from parcelscope.schemas import SPECS
 from parcelscope.settings import configure, scratch_dir, staged
@@ -53,6 +55,9 @@ NULLABLE_INTS = {
     "customer_zip_code_prefix",
     "product_photos_qty",
     "review_score",
+    "sum_review_score",
+    "sum_delivery_days",
+    "sum_days_late",
     "delivery_days",
     "days_late",
     "delivery_date_key",
@@ -139,17 +144,39 @@ def in_full_load_roundtrip(spark, folder):
 
 @query
 def in_incremental_load(spark, folder):
-    """Two incremental loads of a growing extract and a rerun of the second: every row once."""
+    """Two incremental loads of a growing extract and a rerun of the second: every row once. The
+    first extract ends in the middle of a day, and the second brings late rows of the days before."""
     lake, ledger = _fresh_lake(spark)
     orders = bronze_of(spark, folder)("orders")
-    first = orders.where(~after_mark("order_purchase_timestamp", MARK))
-    early = _extract(lake, first, "orders_1")
+    before = ~after_mark("order_purchase_timestamp", MARK)
+    withheld = (F.to_date("order_purchase_timestamp") >= F.lit(MARK - timedelta(days=3))) & (
+        F.pmod(F.col("order_id").cast("long"), F.lit(2)) == 0
+    )
+    early = _extract(lake, orders.where(before & ~withheld), "orders_1")
     late = _extract(lake, orders, "orders_2")
     for run, source in (("run-1", early), ("run-2", late), ("run-3", late)):
         incremental_load(lake, ledger, "orders", source, run, RUN_DATE)
-    return bronze_table(lake, "orders").select(
-        "order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date"
-    )
+    return bronze_table(lake, "orders")
+
+
+@query
+def in_rejects(spark, folder):
+    """Rows without an event time or dated after the run are kept apart, once."""
+    lake, ledger = _fresh_lake(spark)
+    source = _extract(lake, bronze_of(spark, folder)("orders"), "orders")
+    for run in ("run-1", "run-2"):
+        incremental_load(lake, ledger, "orders", source, run, MARK)
+    return rejects(lake, "orders").select("order_id", "order_purchase_timestamp", "reason")
+
+
+@query
+def in_run_report(spark, folder):
+    """The numbered run report after loads of three tables, one after the other."""
+    lake, ledger = _fresh_lake(spark)
+    bronze = bronze_of(spark, folder)
+    for table in ("sellers", "products", "product_category_translation"):
+        full_load(lake, ledger, table, _extract(lake, bronze(table), table), "run-1", RUN_DATE)
+    return ledger.runs().select("sequence", "table_name", "rows_loaded", "status")
 
 
 @query
@@ -161,7 +188,7 @@ def in_run_log(spark, folder):
         full_load(lake, ledger, table, _extract(lake, bronze(table), table), "run-1", RUN_DATE)
     reviews = _extract(lake, bronze("order_reviews"), "order_reviews")
     incremental_load(lake, ledger, "order_reviews", reviews, "run-1", RUN_DATE)
-    return ledger.runs().join(ledger.marks(), "table_name").drop("run_timestamp")
+    return ledger.runs().join(ledger.marks(), "table_name").drop("run_timestamp", "sequence")
 
 
 @query
@@ -226,9 +253,43 @@ def sv_geolocation(spark, folder):
     )
 
 
+@query
+def sv_managed_geolocation(spark, folder):
+    """Geolocation as a managed table, written twice and read back by name."""
+    lake, _ = _fresh_lake(spark)
+    places = silver_of(spark, folder)["geolocation"]
+    lake.save_managed(places.limit(1), "silver", "geolocation")
+    return rounded(lake.save_managed(places, "silver", "geolocation"), "geolocation_lat", "geolocation_lng")
+
+
+@query
+def sv_stored_tables(spark, folder):
+    """Silver customers through the lake: refreshed twice, read by name."""
+    lake, _ = _fresh_lake(spark)
+    customers = silver_of(spark, folder)["customers"]
+    for df in (customers.limit(5), customers):
+        lake.refresh(df, "silver", "customers")
+    return lake.table("silver", "customers")
+
+
 # gold
 
 
+@query
+def gd_full_refresh(spark, folder):
+    """The five gold tables refreshed twice, counted by name."""
+    lake, _ = _fresh_lake(spark)
+    model = model_of(spark, folder)
+    for table in GOLD_ORDER:
+        stored = staged(model[table], table)
+        for df in (stored.limit(3), stored):
+            lake.refresh(df, "gold", table)
+    counts = [
+        lake.table("gold", t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for t in GOLD_ORDER
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def gd_dim_date(spark, folder):
     """The calendar of every year in which an order was placed, delivered or due."""
@@ -464,7 +525,7 @@ def me_orders_delivered(spark, folder):
 def me_implicit_sums(spark, folder):
     return evaluate(
         model_of(spark, folder),
-        [implicit_sum(c) for c in ("price", "freight_value", "is_late", "is_delivered")],
+        [implicit_sum(c) for c in SUMMABLE],
         by=["dim_sellers.seller_state"],
     )
 

@@ -194,7 +194,7 @@ def test_fact_is_the_same_with_hot_orders_and_customers(market, monkeypatch):
     everything_hot = partial(hot_keys, hot_rows=1, one_in=1)
     monkeypatch.setattr(gold, "hot_keys", everything_hot)
     spread = gold.fact_orders(market.silver, market)
-    assert "_hot" in spread._jdf.queryExecution().toString()
+    assert "_salt" in spread._jdf.queryExecution().toString()
     assert rows(spread) == plain and len(plain) == 5
 
 

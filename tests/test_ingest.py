@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from parcelscope.plans.calendar import calendar
 from parcelscope.plans.control import Ledger
-from parcelscope.plans.ingest import after_mark, bronze_table, full_load, incremental_load
+from parcelscope.plans.ingest import after_mark, bronze_table, full_load, incremental_load, rejects
 from parcelscope.plans.pipeline import build_gold, build_silver, check_bronze, check_gold, check_silver
 from parcelscope.schemas import BRONZE, SPECS
+from parcelscope.settings import scratch_dir
 from parcelscope.sources.extracts import SchemaDrift, find_drift, read_extract, typed
 from parcelscope.sources.lake import Lake
 from parcelscope.streaming.incremental import append_new, stream_extracts, stream_files
@@ -133,13 +134,80 @@ def test_incremental_load_takes_rows_after_the_mark(lake, ledger, extract):
         + order_line("3", "2017-01-02 12:00:00")  # on the mark: not after it
         + order_line("4", "2017-01-03 00:00:00") + order_line("5", "")
     )
-    assert incremental_load(lake, ledger, "orders", two, "r2", RUN_DAY).rows == 1
+    assert incremental_load(lake, ledger, "orders", two, "r2", RUN_DAY, mode="event_date").rows == 1
     assert rows(bronze_table(lake, "orders"), "order_id") == [("1",), ("2",), ("4",)]
-    assert incremental_load(lake, ledger, "orders", two, "r3", RUN_DAY).rows == 0
+    assert incremental_load(lake, ledger, "orders", two, "r3", RUN_DAY, mode="event_date").rows == 0
     assert ledger.mark("orders") == date(2017, 1, 3)
     assert bronze_table(lake, "orders").count() == 3
 
 
+def test_late_rows_and_the_rest_of_the_marks_day_are_loaded(lake, ledger, extract):
+    first = ORDERS + order_line("1", "2017-01-01 08:00:00")
+    incremental_load(lake, ledger, "orders", extract(first), "r1", RUN_DAY)
+    more = first + order_line("2", "2017-01-01 20:00:00") + order_line("3", "2016-12-31") + order_line("4", "2017-01-02")
+    assert incremental_load(lake, ledger, "orders", extract(more), "r2", RUN_DAY).rows == 3
+    assert incremental_load(lake, ledger, "orders", extract(more), "r3", RUN_DAY).rows == 0
+    old = more + order_line("5", "2016-01-01")  # before the lookback
+    assert incremental_load(lake, ledger, "orders", extract(old), "r4", RUN_DAY).rows == 0
+    assert incremental_load(lake, ledger, "orders", extract(old), "r5", RUN_DAY, lookback_days=400).rows == 1
+    assert rows(bronze_table(lake, "orders"), "order_id") == [(str(i),) for i in range(1, 6)]
+    assert ledger.mark("orders") == date(2017, 1, 2)
+
+
+def test_undated_and_future_rows_are_kept_apart_and_never_move_the_mark(lake, ledger, extract):
+    source = extract(ORDERS + order_line("1", "2017-01-01") + order_line("2", "2999-01-01") + order_line("3", ""))
+    for run in ("r1", "r2"):
+        incremental_load(lake, ledger, "orders", source, run, RUN_DAY)
+    assert ledger.mark("orders") == date(2017, 1, 1)
+    assert rows(bronze_table(lake, "orders"), "order_id") == [("1",)]
+    assert rows(rejects(lake, "orders"), "order_id", "reason") == [("2", "future"), ("3", "undated")]
+    logged = lake.table("ops", "quality_log").where("run_id = 'r1' AND check_type LIKE 'rejected%'")
+    assert rows(logged, "check_type", "result", "passed") == [
+        ("rejected_future", "1 rows left out", False), ("rejected_undated", "1 rows left out", False)
+    ]
+    later = extract(ORDERS + order_line("4", "2017-01-02"))
+    assert incremental_load(lake, ledger, "orders", later, "r3", RUN_DAY).rows == 1
+
+
+def test_a_quality_run_returns_its_own_rows(spark, lake, ledger):
+    suite = lambda passed: spark.createDataFrame(
+        [("t", "c", "x", passed)], "table_name string, check_type string, result string, passed boolean"
+    )
+    assert rows(ledger.log_quality(suite(False)), "passed") == [(False,)]
+    assert rows(ledger.log_quality(suite(True)), "passed") == [(True,)]
+    assert lake.table("ops", "quality_log").count() == 2
+
+
+def test_run_report_is_numbered(lake, ledger, extract):
+    for run in ("r2", "r1", "r3"):
+        full_load(lake, ledger, "sellers", extract(SELLERS + "a,1,x,sp\n"), run, RUN_DAY)
+    assert [r["sequence"] for r in ledger.runs().collect()] == [1, 2, 3]
+
+
+def test_scratch_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError):
+            scratch_dir(Session(**{"spark.master": master}), "x")
+    shared = Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/"})
+    assert scratch_dir(shared, "x").startswith("hdfs://x/parcelscope/x-")
+
+
+def test_stream_counts_more_batches_than_a_session_keeps(spark, tmp_path):
+    folder, base = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(30).repartition(12).write.parquet(folder)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    try:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+        files = stream_files(spark, folder, spark.range(1).schema, files_per_batch=1)
+        assert append_new(files.where("id < 20"), f"{base}/t", f"{base}/c") == 20
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
 def test_run_date_mode_skips_late_rows_and_event_date_mode_does_not(lake, ledger, extract):
     first = extract(ORDERS + order_line("1", "2017-01-01"))
     late = extract(ORDERS + order_line("1", "2017-01-01") + order_line("2", "2017-06-01"))
@@ -224,6 +292,18 @@ def test_refresh_may_read_the_table_it_replaces(spark, lake):
     assert wider.columns == ["id", "y"] and wider.count() == 5
 
 
+@pytest.mark.parametrize("layout", [{}, {"partition_by": ("k",)}, {"bucket_by": (2, "id")}])
+def test_a_failed_refresh_leaves_the_old_rows(spark, lake, layout):
+    good = spark.range(4).withColumn("k", F.col("id") % 2)
+    lake.refresh(good, "gold", "t", **layout)
+    bad = good.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("lost")).cast("long")).otherwise(7))
+    with pytest.raises(Exception, match="lost"):
+        lake.refresh(bad.withColumn("more", F.lit(1)), "gold", "t", **layout)
+    assert rows(lake.table("gold", "t").select("id")) == [(0,), (1,), (2,), (3,)]
+    lake.refresh(good.where("id < 2"), "gold", "t", **layout)
+    assert rows(lake.table("gold", "t").select("id")) == [(0,), (1,)]
+
+
 def test_old_versions_go_only_when_asked(spark, lake):
     for n in (1, 2, 3):
         lake.refresh(spark.range(n), "silver", "t")

@@ -33,10 +33,11 @@ def test_hot_keys_do_not_depend_on_partitioning(skewed):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("hot_rows", [10, 1000, 10**9])
-def test_spread_join_equals_plain_join(skewed, how, hot_rows):
+@pytest.mark.parametrize("most_listed", [0, 10_000])
+def test_spread_join_equals_plain_join(skewed, how, hot_rows, most_listed):
     many, one = skewed
     hot = hot_keys(many, "k", ["k", "id"], hot_rows=hot_rows, one_in=10)
-    spread = spread_join(many, one, hot, "k", ["k", "id"], how, spread=7)
+    spread = spread_join(many, one, hot, "k", ["k", "id"], how, most_listed=most_listed)
     assert rows(spread, "k", "id", "v") == rows(many.join(one, "k", how), "k", "id", "v")
 
 
@@ -44,14 +45,14 @@ def test_spread_join_with_repeated_right_rows(skewed):
     many, one = skewed
     twice = one.unionAll(one)
     hot = hot_keys(many, "k", ["k", "id"], hot_rows=1000, one_in=10)
-    assert spread_join(many, twice, hot, "k", ["k", "id"], spread=7).count() == (
+    assert spread_join(many, twice, hot, "k", ["k", "id"]).count() == (
         many.join(twice, "k").count()
     )
 
 
 def test_spread_join_spreads_the_hot_key(spark, skewed):
     many, one = skewed
-    hot = hot_keys(many, "k", ["k", "id"], hot_rows=1000, one_in=10)
+    hot = hot_keys(many, "k", ["k", "id"], hot_rows=50, one_in=10)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     try:
@@ -59,7 +60,7 @@ def test_spread_join_spreads_the_hot_key(spark, skewed):
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         plain = many.join(one, "k").where("k = -1").groupBy(F.spark_partition_id()).count()
         spread = (
-            spread_join(many, one, hot, "k", ["k", "id"], spread=64)
+            spread_join(many, one, hot, "k", ["k", "id"])
             .where("k = -1")
             .groupBy(F.spark_partition_id())
             .count()
@@ -71,6 +72,33 @@ def test_spread_join_spreads_the_hot_key(spark, skewed):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_a_small_share_is_hot_all_the_same(spark):
+    """Hot by its rows alone, however many other rows there are; salts follow the count."""
+    many = spark.range(30_000).select(
+        F.when(F.col("id") < 900, -1).when(F.col("id") < 1200, -2).otherwise(F.col("id")).alias("k"), "id"
+    )
+    found = dict(rows(hot_keys(many, "k", ["id"], hot_rows=100, one_in=2)))
+    assert set(found) == {-1, -2} and found[-1] in range(8, 11) and found[-2] in range(2, 5)
+
+
+def test_null_keys_of_a_left_join_are_spread(spark):
+    many = spark.range(2000).select(F.when(F.col("id") < 1990, None).otherwise(F.col("id")).alias("k"), "id")
+    one = spark.range(1990, 1995).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for hot_rows in (1, 10**9):
+            joined = spread_join(many, one, hot_keys(many, "k", ["id"], hot_rows, 1), "k", ["id"], "left")
+            assert joined.count() == 2000 and joined.where("v = 1").count() == 5
+            placed = joined.withColumn("p", F.spark_partition_id()).where("k IS NULL")
+            assert placed.groupBy("p").count().count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_spread_join_refuses_other_kinds(skewed):
     many, one = skewed
     with pytest.raises(ValueError):
