@@ -1,4 +1,4 @@
-"""The batch pipeline over a lake: bronze to silver to gold, with the quality gates between."""
+"""The batch pipeline over a lake: bronze to silver to gold, and the checks of each layer."""
 
 from __future__ import annotations
 

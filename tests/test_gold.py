@@ -189,6 +189,11 @@ def test_fact_rows(market):
     ]
 
 
+def test_fact_is_the_same_against_stored_dimensions(market):
+    stored = {t: market[t] for t in ("dim_customers", "dim_sellers", "dim_products")}
+    assert rows(gold.fact_orders(market.silver, stored)) == rows(market["fact_orders"])
+
+
 def test_fact_is_the_same_with_hot_orders_and_customers(market, monkeypatch):
     plain = rows(market["fact_orders"])
     everything_hot = partial(hot_keys, hot_rows=1, one_in=1)

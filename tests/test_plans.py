@@ -68,6 +68,17 @@ def test_nothing_is_broadcast_by_hint_without_hot_keys(spark, no_broadcast):
     assert "BroadcastExchange" not in plan
 
 
+def test_the_fact_does_not_look_its_own_customers_up(spark, no_broadcast):
+    """38 hash exchanges with the look-up; items are scanned no more than before."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(spark, "gd_fact_orders")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall("Exchange hashpartitioning", plan)) <= 32
+    assert len(re.findall(r"FileScan[^\n]*lineitem", plan)) <= 3
+
+
 def test_year_over_year_does_not_shuffle_the_fact_by_date(spark, no_broadcast):
     plan = plan_of(spark, "me_revenue_yoy").split("== Initial Plan ==")[-1]
     assert "Exchange hashpartitioning(order_date_key" not in plan
