@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelscope.llm.text import own_name
+
 ROUNDS = 8
 HEX = "0123456789abcdef"
 # Days 1800-01-01 to 2199-12-31: one whole Gregorian cycle of 146,097 = 189 * 773 days.
@@ -254,14 +256,14 @@ def with_pseudonyms(docs: DataFrame, key: str, text: str = "text", length: str =
 
     none = F.struct(F.col(f"`{text}`").alias("text"), F.array().cast("array<string>").alias("kinds"))
     made = let(F.coalesce(let(found, lambda v: F.when(v.isNotNull(), rebuilt(v))), none), lambda m: m)
-    columns = []
-    inner = docs.select("*", made.alias("__made"))
+    columns, new = [], own_name(docs, "_made")
+    inner = docs.select("*", made.alias(new))
     for c in docs.columns:
         if c == text:
-            columns.append(F.col("__made.text").alias(c))
+            columns.append(F.col(f"{new}.text").alias(c))
         elif c == length:
-            changed = F.size("__made.kinds") > 0
-            columns.append(F.when(changed, F.length("__made.text")).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c))
+            changed = F.size(f"{new}.kinds") > 0
+            columns.append(F.when(changed, F.length(f"{new}.text")).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c))
         elif c != kinds:
             columns.append(F.col(f"`{c}`"))
-    return inner.select(*columns, F.col("__made.kinds").alias(kinds))
+    return inner.select(*columns, F.col(f"{new}.kinds").alias(kinds))

@@ -18,7 +18,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelscope.llm.text import words
+from parcelscope.llm.text import own_name, words
 from parcelscope.settings import staged
 
 LEAST_WORDS = 20
@@ -94,12 +94,21 @@ def base_columns(text: Column) -> dict[str, Column]:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the base counts of each whole text and ``base_failed``. A null text has none."""
-    out = docs
-    for name, column in base_columns(F.col(f"`{text}`")).items():
+    """``docs`` with the base counts of each whole text and ``base_failed``. A null text has none. An
+    input column that is called like a count is replaced."""
+    steps = base_columns(F.col("_given"))
+    made = [c for c in steps if not c.startswith("_")] + ["base_failed"]
+    kept = [c for c in docs.columns if c not in made]
+    row, out = own_name(docs, "_row"), docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_given"))
+    if {*steps, "_given"} & {*kept}:  # working columns get their names, the input's are packed away
+        out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias(row), F.col(f"`{text}`").alias("_given"))
+    names = [c for c in out.columns if c != "_given"]
+    for name, column in steps.items():
         out = out.withColumn(name, column)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return out.withColumn("base_failed", failed).drop(*[c for c in out.columns if c.startswith("_") and c not in docs.columns])
+    out = out.withColumn("base_failed", failed)
+    own = [F.col(f"`{row}`.`{c}`") for c in kept] if row in names else [F.col(f"`{c}`") for c in kept]
+    return out.select(*own, *made)
 
 
 def bucket(value: Column) -> Column:
@@ -200,7 +209,8 @@ def of_good_quality(docs: DataFrame, text: str = "text", language: str = "lang",
     groups = [F.col(f"`{c}`") for c in dict.fromkeys([text, language, source])]
     narrow = measured(docs.select(*groups), text)
     limits = staged(fences(staged(sketches(narrow, language, source), "quality-sketch")), "quality-fences")
+    row = own_name(docs, "_whole")
     clash = [c for c in docs.columns if c in [*BASE, "base_failed", "kept"]]
-    whole = docs.select("*", F.struct("*").alias("_row")) if clash else docs
+    whole = docs.select("*", F.struct("*").alias(row)) if clash else docs
     verdicts = judged(measured(whole.drop(*clash), text), limits, language, source).where("kept")
-    return verdicts.select("_row.*") if clash else verdicts.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return verdicts.select(f"`{row}`.*") if clash else verdicts.select(*[F.col(f"`{c}`") for c in docs.columns])
