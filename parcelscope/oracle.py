@@ -265,7 +265,7 @@ def _bronze_checks() -> str:
         checks = [
             (
                 "row_count",
-                f"count(*) || ' (expected ~' || {expected} || ', variance ' ||"
+                f"count(*) || ' rows for about ' || {expected} || ' (off by ' ||"
                 f" printf('%.1f', {off} * 100) || '%)'",
                 f"{off} <= 0.05",
             ),
@@ -323,7 +323,7 @@ def _silver_checks() -> str:
             checks.append(
                 (
                     "review_score_valid_flag",
-                    f"{bad} || ' rows flagged as invalid out of ' || count(*)",
+                    f"{bad} || ' reviews with an invalid score, of ' || count(*)",
                     f"{bad} <= 50",
                 )
             )
@@ -332,7 +332,7 @@ def _silver_checks() -> str:
             checks.append(
                 (
                     "payment_type_valid_flag",
-                    f"{bad} || ' rows with unexpected payment types out of ' || count(*)",
+                    f"{bad} || ' payments of an unlisted type, of ' || count(*)",
                     "count(*) >= 0",
                 )
             )
@@ -352,7 +352,7 @@ def _silver_checks() -> str:
             _checks(
                 child,
                 orphans,
-                [(f"ref_integrity_{column}", "count(*) || ' orphaned keys'", "count(*) <= 25")],
+                [(f"ref_integrity_{column}", "count(*) || ' keys without a parent'", "count(*) <= 25")],
             )
         )
     off = "(abs(paid - sold)::DOUBLE / sold::DOUBLE)"
@@ -494,7 +494,7 @@ _SQL: dict[str, str] = {
     "in_schema_drift": _with(
         """
         SELECT seller_id, seller_state,
-               'Schema drift: unexpected ["city''s name"], missing [''seller_city'']' AS refused
+               'header differs: undeclared columns ["city''s name"], absent columns [''seller_city'']' AS refused
         FROM r_sellers"""
     ),
     "st_incremental_events": f"""

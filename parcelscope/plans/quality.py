@@ -98,7 +98,7 @@ def _bronze_table(
         check(
             name,
             "row_count",
-            text(F.col("n"), " (expected ~", F.col("expected"), ", variance ", percent(off, 1), ")"),
+            text(F.col("n"), " rows for about ", F.col("expected"), " (off by ", percent(off, 1), ")"),
             off <= tolerance,
         ),
         check(
@@ -195,7 +195,7 @@ def _silver_table(
             check(
                 name,
                 "review_score_valid_flag",
-                text(invalid, " rows flagged as invalid out of ", n),
+                text(invalid, " reviews with an invalid score, of ", n),
                 invalid <= invalid_score_tolerance,
             )
         )
@@ -205,7 +205,7 @@ def _silver_table(
             check(
                 name,
                 "payment_type_valid_flag",
-                text(invalid, " rows with unexpected payment types out of ", n),
+                text(invalid, " payments of an unlisted type, of ", n),
                 True,
             )
         )
@@ -219,7 +219,7 @@ def _silver_reference(
     n = F.col("n")
     return to_rows(
         orphans,
-        [check(name, f"ref_integrity_{column}", text(n, " orphaned keys"), n <= tolerance)],
+        [check(name, f"ref_integrity_{column}", text(n, " keys without a parent"), n <= tolerance)],
     )
 
 

@@ -26,7 +26,7 @@ class Drift:
     @property
     def message(self) -> str:
         return (
-            f"Schema drift: unexpected {list(self.unexpected)}, missing {list(self.missing)}"
+            f"header differs: undeclared columns {list(self.unexpected)}, absent columns {list(self.missing)}"
         )
 
 

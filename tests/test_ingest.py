@@ -69,9 +69,9 @@ def test_full_load_replaces_and_registers(lake, ledger, extract):
     "header, message",
     [
         ("seller_id,seller_zip_code_prefix,seller_city,seller_state,it's new",
-         "Schema drift: unexpected [\"it's new\"], missing []"),
+         "header differs: undeclared columns [\"it's new\"], absent columns []"),
         ("seller_id,seller_zip_code_prefix,seller_city",
-         "Schema drift: unexpected [], missing ['seller_state']"),
+         "header differs: undeclared columns [], absent columns ['seller_state']"),
     ],
 )
 def test_drift_aborts_before_writing_and_is_logged(lake, ledger, extract, header, message):
