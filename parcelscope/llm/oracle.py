@@ -68,7 +68,70 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+
+
+def _quartiles(keys: str) -> str:
+    """Quartiles of the merged buckets per ``keys`` and measure."""
+    return f"""
+  SELECT {keys} measure, max(total) >= 100 AS enough, min(bucket) FILTER (upto * 4 >= total) AS q1,
+         min(bucket) FILTER (upto * 4 >= total * 3) AS q3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} measure ORDER BY bucket) AS upto,
+               sum(n) OVER (PARTITION BY {keys} measure) AS total
+        FROM (SELECT {keys} measure, bucket, count(*) AS n FROM tall GROUP BY ALL))
+  GROUP BY ALL"""
+
+
+_QUALITY = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS k
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) >= 8)),
+often AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
+covered AS (
+  SELECT r, sum(least(8, coalesce(following - i, 8))) AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM often) GROUP BY r),
+base AS (
+  SELECT d.r, doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, n_lines,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         len(w) < 20 OR 100 * coalesce(c.n, 0) > 30 * len(w) AS base_failed
+  FROM docs d LEFT JOIN lines l ON d.r = l.r LEFT JOIN covered c ON d.r = c.r),
+measured AS (
+  SELECT r, lang, source, unnest([
+    {{'m': 'symbols', 'v': n_symbols * 1000 // n_words, 'slack': 100, 'low': false}},
+    {{'m': 'dup_lines', 'v': n_dup_lines * 1000 // n_lines, 'slack': 400, 'low': false}},
+    {{'m': 'repeats', 'v': n_repeat_words * 1000 // n_words, 'slack': 290, 'low': false}},
+    {{'m': 'word_length', 'v': word_chars * 100 // n_words, 'slack': 130, 'low': true}}]) AS x
+  FROM base WHERE NOT base_failed),
+tall AS (
+  SELECT r, lang, source, x.m AS measure, x.v AS v, x.slack AS slack, x.low AS low,
+         (x.v >> greatest(length(bin(x.v)) - 6, 0)::BIGINT) << greatest(length(bin(x.v)) - 6, 0)::BIGINT AS bucket
+  FROM measured),
+own AS ({_quartiles('lang, source,')}),
+language AS ({_quartiles('lang,')}),
+corpus AS ({_quartiles('')}),
+used AS (
+  SELECT t.r, t.v, t.slack, t.low,
+         CASE WHEN o.enough THEN o.q1 WHEN l.enough THEN l.q1 ELSE c.q1 END AS q1,
+         CASE WHEN o.enough THEN o.q3 WHEN l.enough THEN l.q3 ELSE c.q3 END AS q3
+  FROM tall t
+  JOIN own o ON t.lang IS NOT DISTINCT FROM o.lang AND t.source IS NOT DISTINCT FROM o.source AND t.measure = o.measure
+  JOIN language l ON t.lang IS NOT DISTINCT FROM l.lang AND t.measure = l.measure
+  JOIN corpus c ON t.measure = c.measure),
+inside AS (
+  SELECT r, bool_and(v <= q3 + greatest((q3 - q1) * 3, slack) AND (NOT low OR v >= q1 - greatest((q3 - q1) * 3, slack))) AS kept
+  FROM used GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(kept, false) AS kept
+FROM base b LEFT JOIN inside i ON b.r = i.r
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_quality": _QUALITY,
     "op1_url_rules": _URL_RULES,
     "op6_chat": _CHAT,
     "op7_mixing": _MIXING,
