@@ -746,6 +746,11 @@ _OUTPUT: dict[str, dict[str, str]] = {
 }
 
 _SQL["sv_managed_geolocation"] = _SQL["sv_geolocation"]
+_SQL["qc_logged"] = _SQL["qc_silver"]
+_SQL["qc_failures"] = (
+    f"SELECT * FROM ({_SQL['qc_silver']}) WHERE NOT passed "
+    f"UNION ALL BY NAME SELECT * FROM ({_SQL['qc_unique_item_key']}) WHERE NOT passed"
+)
 _SQL["gd_full_refresh"] = " UNION ALL ".join(
     [
         "SELECT 'dim_date' AS table_name, count(*) AS n_rows "

@@ -381,10 +381,7 @@ def qc_bronze(spark, folder):
 
 @query
 def qc_silver(spark, folder):
-    bronze = bronze_of(spark, folder)
-    silver = Silver(bronze)
-    counts = {t: bronze(t).groupBy().count() for t in silver if t != "geolocation"}
-    return quality.silver_suite({t: silver[t] for t in silver}, counts)
+    return _silver_checks_of(spark, folder)
 
 
 @query
@@ -418,6 +415,28 @@ def qc_unique_item_key(spark, folder):
     return quality.unique_keys(keyed, "order_items", "item_key")
 
 
+def _silver_checks_of(spark, folder) -> DataFrame:
+    bronze = bronze_of(spark, folder)
+    silver = Silver(bronze)
+    counts = {t: bronze(t).groupBy().count() for t in silver if t != "geolocation"}
+    return quality.silver_suite({t: silver[t] for t in silver}, counts)
+
+
+@query
+def qc_failures(spark, folder):
+    """The failed checks of the silver suite and of the item keys, one row each."""
+    suite = _silver_checks_of(spark, folder).unionByName(QUERIES["qc_unique_item_key"](spark, folder))
+    return quality.failures(suite)
+
+
+@query
+def qc_logged(spark, folder):
+    """Two suites in the quality log; what is returned is the second run's rows alone."""
+    _, ledger = _fresh_lake(spark)
+    ledger.log_quality(QUERIES["qc_unique_item_key"](spark, folder))
+    return ledger.log_quality(_silver_checks_of(spark, folder)).drop("run_timestamp", "run_id")
+
+
 # measures
 
 
