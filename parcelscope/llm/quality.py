@@ -33,10 +33,10 @@ PRECISION = 6  # significant bits of a bucket
 # Measure: (expression over the base columns, slack, lower fence too). The measures are parts in a
 # thousand of words or lines, and hundredths of a character.
 MEASURES = {
-    "symbols": ("n_symbols * 1000 DIV n_words", 100, False),
-    "dup_lines": ("n_dup_lines * 1000 DIV n_lines", 400, False),
-    "repeats": ("n_repeat_words * 1000 DIV n_words", 290, False),
-    "word_length": ("word_chars * 100 DIV n_words", 130, True),
+    "symbols": ("n_symbols * 1000 DIV nullif(n_words, 0)", 100, False),
+    "dup_lines": ("n_dup_lines * 1000 DIV nullif(n_lines, 0)", 400, False),
+    "repeats": ("n_repeat_words * 1000 DIV nullif(n_words, 0)", 290, False),
+    "word_length": ("word_chars * 100 DIV nullif(n_words, 0)", 130, True),
 }
 BASE = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 

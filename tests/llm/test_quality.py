@@ -60,13 +60,15 @@ def test_fences_follow_the_group(spark):
     rows = [(i, document(i), "en", "prose") for i in range(120)]
     rows += [(200 + i, document(i, junk=True), "en", "code") for i in range(120)]
     rows += [(400, document(1, junk=True), "en", "prose"), (401, document(2), "de", None), (402, document(3), None, "tiny")]
+    rows += [(500, None, "en", "prose"), (501, "", None, None), (502, " \n", "en", "prose")]
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "7 AS n_words", "8 AS _words", "9 AS _row")
     kept = {r["doc_id"]: r["kept"] for r in quality.with_quality(docs, carry=["doc_id"]).collect()}
     assert len(kept) == len(rows)
-    assert kept == {r[0]: r[0] != 400 for r in rows}
+    gone = {400, 500, 501, 502}
+    assert kept == {r[0]: r[0] not in gone for r in rows}
     filtered = quality.of_good_quality(docs)
     assert filtered.columns == docs.columns
-    assert {tuple(r) for r in filtered.collect()} == {(*r, 7, 8, 9) for r in rows if r[0] != 400}
+    assert {tuple(r) for r in filtered.collect()} == {(*r, 7, 8, 9) for r in rows if r[0] not in gone}
 
 
 def test_bucket_error_is_one_part_in_32(spark):
