@@ -46,9 +46,7 @@ def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    path = tokenizer_path()
-    ids = byte_pairs.encoded(table(spark, folder, "documents"), path, keep=["doc_id"])
-    rows = byte_pairs.decoded(ids, path)
+    rows = byte_pairs.round_trip(table(spark, folder, "documents"), tokenizer_path(), keep=["doc_id"])
     return rows.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -60,7 +60,11 @@ def test_columns(spark, library):
     for r in back.collect():
         assert r["token_ids"] == library.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["decoded"] == (r["text"] or "")
+    both = byte_pairs.round_trip(docs, tokenizer_path())
+    assert both.columns == back.columns
+    assert sorted(map(str, both.collect())) == sorted(map(str, back.collect()))
     assert byte_pairs.encoded(docs.limit(0), tokenizer_path()).count() == 0
+    assert byte_pairs.round_trip(docs.limit(0), tokenizer_path()).count() == 0
 
 
 def test_query(spark, library):
