@@ -45,9 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of the text they decode to."""
     ship(spark)
-    path = tokenizer_path()
-    ids = byte_pairs.encoded(docs, path, keep=["doc_id", "lang", "source"])
-    return byte_pairs.decoded(ids, path).select(
+    return byte_pairs.round_trip(docs, tokenizer_path(), keep=["doc_id", "lang", "source"]).select(
         "doc_id", "lang", "source", "token_ids",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
