@@ -7,8 +7,9 @@ slots; a text that never differs is the template's. Wrappers align with wrappers
 partition folds its own pages and only wrappers travel: one per host and partition, in two rounds,
 however many pages a host has. They hold digests in place of texts.
 
-The main text is what stands in the page's article. Pages that do not mark their article are read
-by their host's wrapper: template texts drop out, and the block with most text in slots is taken.
+Every page is read by its host's wrapper. Of the articles a page marks, those with text in slots
+are the main text; one that the host repeats unchanged is template. Pages that mark no article lose
+their template texts, and the block with most text in slots is taken.
 """
 
 from __future__ import annotations
@@ -181,8 +182,7 @@ def wrapper_of(block: Block) -> dict:
     children = []
     for child in block.children:
         if isinstance(child, Block):
-            if not child.aside:
-                children.append(wrapper_of(child))
+            children.append(wrapper_of(child))
         elif child.value.strip():
             children.append({"k": "#", "t": _digest(child.value)})
     return {"k": block.kind, "c": _repeats(children)}
@@ -265,7 +265,7 @@ def _align_lists(left: list[dict], right: list[dict]) -> list[dict]:
 def template_texts(block: Block, wrapper: dict) -> set[int]:
     """Identities of the page's texts that are the template's."""
     found: set[int] = set()
-    children = [c for c in block.children if (not c.aside if isinstance(c, Block) else c.value.strip())]
+    children = [c for c in block.children if isinstance(c, Block) or c.value.strip()]
     kinds = [c.kind if isinstance(c, Block) else "#" for c in children]
     nodes = wrapper["c"]
     at = 0
@@ -346,12 +346,15 @@ def main_text(page: str, wrapper: dict | None = None) -> str:
     """The page's main text: blocks in page order, one per line."""
     root = read(page)
     template: set[int] = set()
+    if wrapper is not None and not wrapper.get("one"):
+        template = template_texts(root, wrapper)
+        if not _length(root, template, True):
+            template = set()  # a page that others repeat in full
     chosen = [b for x in _main_articles(root, []) for b in _inner_article(x)]
-    if not chosen:
-        if wrapper is not None and not wrapper.get("one"):
-            template = template_texts(root, wrapper)
-            if not _length(root, template, True):
-                template = set()  # a page that others repeat in full
+    if chosen:
+        chosen = [b for b in chosen if _length(b, template, True)] or chosen
+        template = set()  # a marked article keeps the texts it shares with other pages
+    else:
         chosen = [_densest(root, template)]
     found: list[list[str]] = []
     for block in chosen:

@@ -69,6 +69,15 @@ def test_template_texts_drop_out_of_unmarked_pages():
     assert "Name of the site" not in lines and "Picture of the day" not in lines
 
 
+def test_an_article_that_the_host_repeats_is_template():
+    page = lambda i: f"<article><h1>Title {i}</h1><p>same</p></article><article class=club><p>Join our club</article>"
+    known = wrapper([page(i) for i in range(3)])
+    assert wrappers.main_text(page(1), known) == "Title 1\nsame"
+    assert wrappers.main_text(page(1)) == "Title 1\nsame\nJoin our club"
+    alike = wrapper([f"<div>{i}</div><article><p>all alike</article>" for i in range(3)])
+    assert wrappers.main_text("<div>1</div><article><p>all alike</article>", alike) == "all alike"
+
+
 def test_pages_that_repeat_in_full_keep_their_text():
     known = wrapper([unmarked(2)] * 3)
     assert "paragraph 2 1 of the text" in wrappers.main_text(unmarked(2), known)
