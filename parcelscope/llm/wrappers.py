@@ -35,7 +35,7 @@ SHARES = 64
 
 # Kinds of elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style textarea title noscript template iframe svg math select object xmp".split())
+_RAW = set("script style textarea title noscript template iframe select object xmp annotation annotation-xml desc metadata".split())
 _BLOCKS = set(
     "html head body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article "
     "main header footer nav aside form fieldset figure figcaption blockquote pre address details summary menu dialog "
@@ -55,7 +55,14 @@ _MARKS = set(
     "recommended recommendations trending widget comment comments commentlist discussion disqus replies reply respond "
     "feedback toolbar skip search copyright disclaimer".split()
 )
-_ARTICLE_MARKS = {"article", "post", "story", "entry"}
+# Inside an article a class marks a block only if the whole of it does, with these words at most beside.
+_FILL = set("slot box unit area section list block container wrapper wrap inner item items bar links link buttons button form count".split())
+# Words that also name content: such a block of an article is left out only if the host repeats it.
+_SOFT = set("notice notices alert banner promotion menu overlay search feedback discussion copyright disclaimer".split())
+# Ids that mark a part of an article; others may be slugs of its headings.
+_PARTS = set("comments commentlist disqus respond replies sidebar navbar masthead topbar breadcrumb breadcrumbs pagination pager".split())
+# First words of class tokens that state what a box has, not what it is.
+_STATES = set("has with without no is not js".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|</?[A-Za-z][^>]*(?:>|\Z)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
@@ -64,12 +71,12 @@ _ATTRIBUTE = re.compile(r"""\s(class|id|role|style|hidden|aria-hidden|itemprop)(
 
 class Block:
     """A block of a page: name, kind (name, id and classes without digits), children that are blocks
-    or texts, and whether it is beside the article."""
+    or texts, whether it is beside the article, and whether it is so only if it is the template's."""
 
-    __slots__ = ("name", "kind", "children", "aside", "article")
+    __slots__ = ("name", "kind", "children", "aside", "article", "soft")
 
-    def __init__(self, name: str, kind: str, aside: bool = False, article: bool = False):
-        self.name, self.kind, self.children, self.aside, self.article = name, kind, [], aside, article
+    def __init__(self, name: str, kind: str, aside: bool = False, article: bool = False, soft: bool = False):
+        self.name, self.kind, self.children, self.aside, self.article, self.soft = name, kind, [], aside, article, soft
 
 
 class Text:
@@ -88,6 +95,26 @@ def _marked(attributes: dict[str, str]) -> set[str]:
     return set(re.findall(r"[a-z]+", spelt.lower()))
 
 
+def _token_words(value: str) -> list[list[str]]:
+    """The words of each class token or id."""
+    spelt = [re.sub(r"([a-z])([A-Z])", r"\1 \2", token) for token in value.split()]
+    return [words for words in (re.findall(r"[a-z]+", token.lower()) for token in spelt) if words]
+
+
+def _side_marks(name: str, attributes: dict[str, str], inside: bool) -> set[str]:
+    """The words of class and id that mark a block as beside the article. Inside an article they are
+    those of whole class tokens, and of ids that name parts."""
+    if "class" not in attributes and "id" not in attributes:
+        return set()
+    classes, ids = _token_words(attributes.get("class", "")), _token_words(attributes.get("id", ""))
+    if not inside:
+        tokens = [t for t in classes + ids if t[0] not in _STATES]
+        return {w for t in tokens for w in t if w in _MARKS or w == "header"}
+    whole = [t for t in classes if all(w in _MARKS or w in _FILL for w in t)]
+    whole += [t for t in ids if len(t) == 1 and t[0] in _PARTS and not re.fullmatch("h[1-6]", name)]
+    return {w for t in whole for w in t if w in _MARKS}
+
+
 def read(page: str) -> Block:
     """The nested blocks of a page. Inline elements are markup only, unless they are marked as beside
     the article. Missing end tags are supplied, stray ones ignored."""
@@ -136,11 +163,14 @@ def read(page: str) -> Block:
         if name in ("html", "body"):
             continue
         inside = any(b.article for b in stack)
+        side = _side_marks(name, attributes, inside)
+        soft = inside and bool(side) and side <= _SOFT
+        article = name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article") or attributes.get("itemprop") == "articleBody"
         beside = (
             name in _LEFT_OUT
-            or bool(marks & _MARKS)
+            or bool(side) and not soft
             or attributes.get("role", "").lower() in _ROLES
-            or (name == "header" or "header" in marks) and not inside
+            or name == "header" and not inside
             or "hidden" in attributes
             or attributes.get("aria-hidden", "").lower() == "true"
             or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")) is not None
@@ -162,8 +192,7 @@ def read(page: str) -> Block:
                     del stack[n:]
                     break
         kind = ".".join([name, *sorted(marks)])
-        article = name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article") or attributes.get("itemprop") == "articleBody"
-        block = Block(name, kind, beside, article and not beside)
+        block = Block(name, kind, beside, article, soft)
         stack[-1].children.append(block)
         stack.append(block)
     return root
@@ -285,13 +314,14 @@ def template_texts(block: Block, wrapper: dict) -> set[int]:
 # --- text
 
 
-def _main_articles(block: Block, found: list[Block]) -> list[Block]:
+def _main_articles(block: Block, found: list[Block], beside: bool = False) -> list[Block]:
+    """The outermost articles, with those in blocks beside if ``beside``."""
     for child in block.children:
-        if isinstance(child, Block) and not child.aside:
+        if isinstance(child, Block) and (beside or not child.aside):
             if child.article:
                 found.append(child)
             else:
-                _main_articles(child, found)
+                _main_articles(child, found, beside)
     return found
 
 
@@ -331,6 +361,13 @@ def _has_blocks_or_text(block: Block) -> bool:
     return bool(block.children)
 
 
+def _constant(block: Block, template: set[int]) -> bool:
+    """Whether all of a block's texts are the template's."""
+    return all(
+        _constant(c, template) if isinstance(c, Block) else id(c) in template or not c.value.strip() for c in block.children
+    )
+
+
 def _blocks(block: Block, template: set[int], out: list[list[str]]) -> None:
     out.append([])
     for child in block.children:
@@ -342,6 +379,12 @@ def _blocks(block: Block, template: set[int], out: list[list[str]]) -> None:
             out.append([])
 
 
+def _drop_soft(blocks: list[Block], template: set[int]) -> None:
+    for block in blocks:
+        block.aside = block.aside or block.soft and bool(template) and _constant(block, template)
+        _drop_soft([c for c in block.children if isinstance(c, Block)], template)
+
+
 def main_text(page: str, wrapper: dict | None = None) -> str:
     """The page's main text: blocks in page order, one per line."""
     root = read(page)
@@ -350,8 +393,11 @@ def main_text(page: str, wrapper: dict | None = None) -> str:
         template = template_texts(root, wrapper)
         if not _length(root, template, True):
             template = set()  # a page that others repeat in full
-    chosen = [b for x in _main_articles(root, []) for b in _inner_article(x)]
+    # a mark does not take away a page's only article: neither its own nor that of a box around it
+    articles = _main_articles(root, []) or _main_articles(root, [], True)
+    chosen = [b for x in articles for b in _inner_article(x)]
     if chosen:
+        _drop_soft(chosen, template)
         chosen = [b for b in chosen if _length(b, template, True)] or chosen
         template = set()  # a marked article keeps the texts it shares with other pages
     else:

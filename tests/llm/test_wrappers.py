@@ -33,6 +33,24 @@ def test_odd_pages(page, text):
     assert wrappers.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<article class='post has-comments'><p>a</article>", "a"), ("<article class=comments><p>a</article>", "a"),
+    ("<div class='layout with-sidebar'><article>a</article></div>", "a"), ("<div class='layout with-sidebar'><p>a</div>", "a"),
+    ("<div class=overlay><main>a</main></div><div class=ad>b</div>", "a"), ("<form><main>a</main></form>", "a"),
+    ("<article>a</article><div class=related><article>b</article></div>", "a"), ("<article><h2 id='related-work'>a</h2>b</article>", "a\nb"),
+    ("<article><section id='feedback-control'>a</section><section id='ad-hoc-queries'>b</section></article>", "a\nb"),
+    ("<article>a <math><mi>x</mi></math> <svg><title>t</title><text>y</text></svg></article>", "a x y"),
+    ("<article>a<div class=notice>n</div><div class=related-links>r</div><section id=comments>c</section></article>", "a\nn"),
+])
+def test_marks_take_no_article_away(page, text):
+    assert wrappers.main_text(page) == text
+
+
+def test_a_notice_that_the_host_repeats_is_left_out_of_articles():
+    page = lambda i: f"<article><p>text {i}<div class=notice>same</div><div class=alert>own {i}</div></article>"
+    assert wrappers.main_text(page(1), wrapper([page(i) for i in range(3)])) == "text 1\nown 1"
+
+
 def unmarked(i, note="All rights reserved"):
     body = "".join(f"<p>paragraph {i} {k} of the text</p>" for k in range(i % 3 + 1))
     extra = "<div class=box>Picture of the day</div>" if i % 2 else ""
