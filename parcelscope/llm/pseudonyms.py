@@ -29,17 +29,25 @@ SECRET_NAME = r"(?i:token|secret|password|passwd|api[_-]?key)"
 PATTERNS = {
     "secret": rf"\b{SECRET_NAME}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[A-Za-z0-9_\-]{{16,}}",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)",
+    "phone": r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
+    r"|\+(?=(?:[ .()-]{0,2}\d){9})\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:(?:[ -]?\d{1,4}){2,5}|(?:\.\d{1,4}){2,5})(?!\d|\.\d))",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-])",
-    "card": r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)",
+    # all numbers in a row, up to one that begins an address or a date with points or slashes
+    "card": r"(?<![\d.])(?=(?:[ -]?\d){13})\d[\d -]*\d(?!\d|\.\d{1,3}\.\d|/\d{2}/\d{2})",
 }
+CARD = r"^\d(?:[ -]?\d){12,18}$"
+# What may stand in a row of numbers, and the shapes of it that are usual.
+IN_ROW = r"^(?:\d(?:[ -]?\d){12,18}|\d{3}-\d{2}-\d{4}|\d{4}-\d{2}-\d{2}|\d{3}-\d{3}[ -]\d{4})$"
+USUAL = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{3}-.*|\d{4}-\d{2}-\d{2})$"
+MOST_GROUPS = 19
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 DATE_FORMATS = {
     r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd",
     r"^\d{4}/\d{2}/\d{2}$": "yyyy/MM/dd",
     r"^\d{2}\.\d{2}\.\d{4}$": "dd.MM.yyyy",
+    r"^(?:1[3-9]|[23]\d)/\d{2}/\d{4}$": "dd/MM/yyyy",
     r"^\d{2}/\d{2}/\d{4}$": "MM/dd/yyyy",
 }
 
@@ -116,7 +124,7 @@ def classified(value: Column) -> Column:
             .when(value.rlike(ssn), "ssn")
             .when(d["day"].between(0, DAY_UNITS[0] * DAY_UNITS[1] - 1), "date")
             .when(fits("phone"), "phone")
-            .when(fits("card") & (luhn_sum(digits_of(value), 1) % 10 == 0), "card")
+            .when(value.rlike(CARD) & (luhn_sum(digits_of(value), 1) % 10 == 0), "card")
         )
         return F.struct(kind.alias("kind"), value.alias("was"), d["form"].alias("form"), d["day"].alias("day"))
 
@@ -232,6 +240,60 @@ def pseudonym(value: Column, key: str) -> Column:
     return let(classified(value), lambda v: F.when(v["kind"].isNotNull(), let(_laid_out(v), of_parts)))
 
 
+def _in_row(groups: Column) -> Column:
+    """The valid values in a row of digit groups, as (first, size, usual) structs that do not overlap:
+    those of a usual shape come first, then those further left, then longer ones."""
+
+    def spans(i: Column) -> Column:
+        text = lambda n: F.regexp_replace(F.array_join(F.slice(groups, i + 1, n), ""), "^[ -]+", "")
+        sizes = F.sequence(F.lit(1), F.least(F.lit(MOST_GROUPS), F.size(groups) - i))
+        made = F.transform(sizes, lambda n: F.struct(i.alias("first"), n.alias("size"), text(n).alias("text")))
+        fit = F.filter(made, lambda s: F.when(s["text"].rlike(IN_ROW), classified(s["text"])["kind"].isNotNull()).otherwise(False))
+        return F.transform(
+            fit, lambda s: F.struct((~s["text"].rlike(USUAL)).alias("odd"), s["first"], (-s["size"]).alias("less"), s["size"])
+        )
+
+    places = F.sequence(F.lit(0), F.size(groups) - 1)
+    ordered = F.array_sort(F.flatten(F.transform(places, spans)))
+    free = lambda taken, s: ~F.exists(
+        taken, lambda t: (t["first"] < s["first"] + s["size"]) & (s["first"] < t["first"] + t["size"])
+    )
+    return F.aggregate(ordered, F.slice(ordered, F.lit(1), F.lit(0)), lambda taken, s: F.when(free(taken, s), F.concat(taken, F.array(s))).otherwise(taken))
+
+
+def pseudonyms(value: Column, key: str) -> Column:
+    """A struct (kinds, text) of a found value: of a row of numbers that is none as a whole, those of
+    its parts between group borders that are valid are replaced."""
+
+    def of_row(groups: Column) -> Column:
+        def pieces(taken: Column) -> Column:
+            def piece(g: Column, i: Column) -> Column:
+                own = F.get(F.filter(taken, lambda t: (t["first"] <= i) & (i < t["first"] + t["size"])), F.lit(0))
+                whole = F.array_join(F.slice(groups, i + 1, own["size"]), "")
+                lead = F.regexp_extract(whole, "^[ -]*", 0)
+                made = let(pseudonym(F.regexp_replace(whole, "^[ -]+", ""), key), lambda m: F.struct(m["kind"].alias("kind"), F.concat(lead, m["text"]).alias("text")))
+                none = F.lit(None).cast("string").alias("kind")
+                return (
+                    F.when(own.isNull(), F.struct(none, g.alias("text")))
+                    .when(own["first"] == i, made)
+                    .otherwise(F.struct(none, F.lit("").alias("text")))
+                )
+
+            return let(F.transform(groups, piece), lambda ps: F.struct(
+                F.filter(F.transform(ps, lambda x: x["kind"]), lambda k: k.isNotNull()).alias("kinds"),
+                F.array_join(F.transform(ps, lambda x: x["text"]), "").alias("text"),
+            ))
+
+        return let(_in_row(groups), lambda taken: F.when(F.size(taken) > 0, let(taken, pieces)))
+
+    def decided(m: Column) -> Column:
+        one = F.struct(F.array(m["kind"]).alias("kinds"), m["text"].alias("text"))
+        row = value.rlike(r"^\d[\d -]*[ -][\d -]*\d$")
+        return F.when(m.isNotNull(), one).when(row, let(F.regexp_extract_all(value, F.lit("[ -]*[0-9]+"), F.lit(0)), of_row))
+
+    return let(pseudonym(value, key), decided)
+
+
 def with_pseudonyms(docs: DataFrame, key: str, text: str = "text", length: str = "n_chars", kinds: str = "pii_kinds") -> DataFrame:
     """``docs`` with private values of ``text`` replaced, and the ``kinds`` found, in order.
 
@@ -241,17 +303,17 @@ def with_pseudonyms(docs: DataFrame, key: str, text: str = "text", length: str =
     """
     found = F.when(
         F.col(f"`{text}`").rlike("[0-9@=:]"),
-        F.transform(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0)), lambda v: F.struct(v.alias("was"), pseudonym(v, key).alias("now"))),
+        F.transform(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0)), lambda v: F.struct(v.alias("was"), pseudonyms(v, key).alias("now"))),
     )
 
     def rebuilt(values: Column) -> Column:
         gaps = F.split(F.col(f"`{text}`"), ANY, -1)
         new = lambda i: F.coalesce(F.get(values, i)["now"]["text"], F.get(values, i)["was"], F.lit(""))
-        valid = F.filter(values, lambda v: v["now"]["kind"].isNotNull())
+        valid = F.filter(values, lambda v: v["now"].isNotNull())
         return F.struct(
             F.when(F.size(valid) > 0, F.array_join(F.transform(gaps, lambda g, i: F.concat(g, new(i))), ""))
             .otherwise(F.col(f"`{text}`")).alias("text"),
-            F.transform(valid, lambda v: v["now"]["kind"]).alias("kinds"),
+            F.flatten(F.transform(valid, lambda v: v["now"]["kinds"])).alias("kinds"),
         )
 
     none = F.struct(F.col(f"`{text}`").alias("text"), F.array().cast("array<string>").alias("kinds"))

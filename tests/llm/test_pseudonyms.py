@@ -92,6 +92,31 @@ def test_look_alikes_and_odd_texts_stay(spark):
     assert replaced(spark, texts) == [(t, len(t or ""), []) for t in texts]
 
 
+def test_neighbouring_numbers_spoil_nothing(spark):
+    card = "4111 1111 1111 1111"
+    new = plain_card(card)
+    frames = [
+        "{} 12/25", "4929 {} x", "12 {}", "{} 123", "{} 12", "{}, {}", "1234 5678 {}", "{} - 7", "{} 10.0.0.300", "{} {} 7",
+    ]
+    got = replaced(spark, [f.replace("{}", card) for f in frames])
+    assert [t for t, _, _ in got] == [f.replace("{}", new) for f in frames]
+    assert [k for _, _, k in got] == [["card"] * f.count("{}") for f in frames]
+    (text, _, kinds), (many, _, more), (ip, _, ips) = replaced(
+        spark, ["1 2 3 123-45-6789 5 6 7", "1 " * 3000 + card, f"{card} 10.0.0.1"]
+    )
+    assert text == f"1 2 3 {plain_ssn('123-45-6789')} 5 6 7" and kinds == ["ssn"]
+    assert many.endswith(new) and more == ["card"] and ips == ["card", "ip"] and ip.startswith(new)
+
+
+def test_day_first_dates_and_international_phones(spark):
+    dates = replaced(spark, ["on 25/12/2024.", "31/02/2024", "13/13/2024"])
+    assert dates[0][0] == f"on {plain_day(date(2024, 12, 25)).strftime('%d/%m/%Y')}." and dates[0][2] == ["date"]
+    assert dates[1:] == [("31/02/2024", 10, []), ("13/13/2024", 10, [])]
+    phones = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 (30) 1234567", "+4915112345678"]
+    for phone, (text, _, kinds) in zip(phones, replaced(spark, [f"call {p}!" for p in phones])):
+        assert kinds == ["phone"] and text != f"call {phone}!" and re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"call {phone}!")
+
+
 def test_matches_at_both_ends_and_in_a_row(spark):
     (text, _, kinds), = replaced(spark, ["10.0.0.1 10.0.0.2\n10.0.0.1"])
     first, second, third = text.replace("\n", " ").split(" ")
