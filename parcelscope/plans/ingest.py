@@ -7,8 +7,9 @@ itself, so an extract is read once. Both load kinds can be rerun after a crash a
 - an incremental load writes into a partition of its own run and leaves out rows whose keys are
   stored already, so a rerun adds what is missing, or replaces its partition under the same run id.
 
-Rows that no load can place, those without an event time or dated after the run, go to a table of
-rejects, are counted in the quality log, and never move the mark.
+Rows that a load does not place, those without an event time, dated after the run, or older than it
+takes and not stored, go to a table of rejects, are counted in the quality log, and never move the
+mark.
 """
 
 from __future__ import annotations
@@ -109,7 +110,8 @@ def incremental_load(
     mark's own day and rows delivered late are picked up. ``'event_date'`` takes rows dated after the
     mark's day only. Both move the mark to the latest event date seen. ``'run_date'`` takes the same
     rows as ``'event_date'`` and moves the mark to the day of the run. No mode moves it beyond the
-    run's day. In every mode a row whose key is stored already is left out.
+    run's day. In every mode a row whose key is stored already is left out, and an older row whose
+    key is not stored is rejected as ``late``; a load with more ``lookback_days`` takes it.
 
     ``by_month`` lays the rows out by event year and month; it must not change during a table's
     life. ``run_id`` names the partition a run writes; a repeated id replaces it.
@@ -122,6 +124,7 @@ def incremental_load(
     mark = ledger.mark(table)
     last_seen = mark - timedelta(days=lookback_days + 1) if mode == "lookback" and mark > FIRST_MARK else mark
     early, late = after_mark(event, last_seen), F.to_date(event) > F.lit(run_date)
+    older = F.col(event).isNotNull() & ~early & ~late
     with _logged(ledger, run_id, table, label):
         raw = require_columns(read_extract(lake.spark, source, spec.multi_line), spec)
         typed_rows, bad = _observed(raw, spec, None)
@@ -130,6 +133,7 @@ def incremental_load(
             seen,
             F.count_if(F.col(event).isNull()).alias("undated"),
             F.count_if(late).alias("future"),
+            F.count_if(older).alias("older"),
             F.max(F.when(early & ~late, F.to_date(event))).alias("latest"),
         )
         loaded = Observation()
@@ -139,10 +143,18 @@ def incremental_load(
         months = {"event_year": F.year(event), "event_month": F.month(event)} if by_month else {}
         _write_run(lake, rows.withColumns(months), table, run_id, tuple(months))
         count, latest = loaded.get["n"], seen.get["latest"]
-        rejected = {"undated": seen.get["undated"], "future": seen.get["future"]}
+        again = typed(raw, spec.schema)
+        behind = _not_stored(lake, table, run_id, again.where(older), F.lit(True))
+        rejected = {
+            "undated": seen.get["undated"],
+            "future": seen.get["future"],
+            "late": behind.count() if seen.get["older"] else 0,
+        }
         if any(rejected.values()):
-            why = F.when(F.col(event).isNull(), "undated").otherwise("future")
-            out = typed(raw, spec.schema).where(F.col(event).isNull() | late)
+            why = F.when(F.col(event).isNull(), "undated").when(late, "future").otherwise("late")
+            out = again.where(F.col(event).isNull() | late)
+            if rejected["late"]:
+                out = out.unionByName(behind)
             out = _not_stored(lake, f"{table}{REJECTS}", run_id, out, F.lit(True), spec.schema.fieldNames())
             _write_run(lake, out.withColumn("reason", why), f"{table}{REJECTS}", run_id, ())
         new_mark = run_date if mode == "run_date" else latest

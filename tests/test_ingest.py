@@ -154,6 +154,21 @@ def test_late_rows_and_the_rest_of_the_marks_day_are_loaded(lake, ledger, extrac
     assert ledger.mark("orders") == date(2017, 1, 2)
 
 
+def test_rows_older_than_the_lookback_are_rejected_as_late(lake, ledger, extract):
+    first = ORDERS + order_line("1", "2016-06-01") + order_line("2", "2017-01-01")
+    incremental_load(lake, ledger, "orders", extract(first), "r1", RUN_DAY)
+    more = extract(first + order_line("3", "2016-12-01") + order_line("4", "2016-12-28"))
+    for run in ("r2", "r3"):
+        incremental_load(lake, ledger, "orders", more, run, RUN_DAY)
+    assert rows(bronze_table(lake, "orders"), "order_id") == [("1",), ("2",), ("4",)]
+    assert rows(rejects(lake, "orders"), "order_id", "reason") == [("3", "late")]
+    logged = lake.table("ops", "quality_log").where("check_type = 'rejected_late'")
+    assert rows(logged, "run_id", "result", "passed") == [("r2", "1 rows left out", False), ("r3", "1 rows left out", False)]
+    assert incremental_load(lake, ledger, "orders", more, "r4", RUN_DAY, lookback_days=60).rows == 1
+    assert rows(bronze_table(lake, "orders"), "order_id") == [(str(i),) for i in range(1, 5)]
+    assert ledger.mark("orders") == date(2017, 1, 1)
+
+
 def test_undated_and_future_rows_are_kept_apart_and_never_move_the_mark(lake, ledger, extract):
     source = extract(ORDERS + order_line("1", "2017-01-01") + order_line("2", "2999-01-01") + order_line("3", ""))
     for run in ("r1", "r2"):
