@@ -458,6 +458,16 @@ _COORDINATES = (
     "round(geolocation_lat, 6) AS geolocation_lat, round(geolocation_lng, 6) AS geolocation_lng"
 )
 
+# The damage done to the items' lines, see the query.
+_DAMAGED = """
+        SELECT order_id, order_item_id, seller_id, shipping_limit_date, price, freight_value, kind,
+               CASE kind WHEN 0 THEN concat_ws(',', a, b, 'n/a', freight_value) WHEN 1 THEN concat_ws(',', a, b)
+                         WHEN 2 THEN concat_ws(',', a, b, price, freight_value, 'extra')
+                         WHEN 3 THEN concat(a, ',"', concat_ws(',', b, price, freight_value)) END AS line
+        FROM (SELECT *, (order_id::BIGINT + order_item_id) % 11 AS kind, concat_ws(',', order_id, order_item_id) AS a,
+                     concat_ws(',', product_id, seller_id, strftime(shipping_limit_date, '%Y-%m-%d %H:%M:%S')) AS b
+              FROM r_order_items)"""
+
 _SQL: dict[str, str] = {
     "in_incremental_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS purchase_date
@@ -467,6 +477,31 @@ _SQL: dict[str, str] = {
         f"""SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in _ORDER_CLOCKS.items())})
             FROM r_orders WHERE order_purchase_timestamp IS NOT NULL"""
     ),
+    "in_same_day_load": _with(
+        """
+        SELECT mode, run_id, CASE run_id WHEN 'run-1' THEN n ELSE 0 END AS rows_loaded, 'success' AS status,
+               CASE mode WHEN 'run_date' THEN DATE '1998-06-30' ELSE latest END AS last_loaded_date
+        FROM (SELECT count(*) AS n, max(CAST(order_purchase_timestamp AS DATE)) AS latest FROM r_orders
+              WHERE CAST(order_purchase_timestamp AS DATE) <= DATE '1998-06-30'),
+             (VALUES ('lookback'), ('event_date'), ('run_date')) modes(mode),
+             (VALUES ('run-1'), ('run-2')) runs(run_id)"""
+    ),
+    "in_rescued": _with(
+        """
+        SELECT 'run-1' AS run_id, order_id, order_item_id, line, CASE kind WHEN 0 THEN 'price' END AS "column",
+               CASE kind WHEN 0 THEN 'n/a' END AS raw_value
+        FROM lines WHERE kind < 4""",
+        lines=_DAMAGED,
+    ),
+    "in_damaged_load": _with(
+        """
+        SELECT order_id, order_item_id, CASE WHEN kind <> 3 THEN seller_id END AS seller_id,
+               CASE WHEN kind <> 3 THEN strftime(shipping_limit_date, '%Y-%m-%d %H:%M:%S') END AS shipping_limit_date,
+               CASE WHEN kind NOT IN (0, 1, 3) THEN price::DOUBLE END AS price,
+               CASE WHEN kind NOT IN (1, 3) THEN freight_value::DOUBLE END AS freight_value
+        FROM lines""",
+        lines=_DAMAGED,
+    ),
     "in_rejects": _with(
         f"""SELECT order_id, {_clock('order_purchase_timestamp')} AS order_purchase_timestamp,
                    CASE WHEN order_purchase_timestamp IS NULL THEN 'undated' ELSE 'future' END AS reason
@@ -716,6 +751,7 @@ def _output(names: dict[str, str]) -> str:
 _OUTPUT: dict[str, dict[str, str]] = {
     "in_incremental_orders": {"purchase_date": "VARCHAR"},
     "in_run_log": {"last_loaded_date": "VARCHAR"},
+    "in_same_day_load": {"last_loaded_date": "VARCHAR"},
     "sv_orders": {"delivery_days": "DOUBLE", "days_late": "DOUBLE"},
     "sv_order_reviews": {"review_score": "DOUBLE"},
     "sv_customers": {"customer_zip_code_prefix": "DOUBLE"},

@@ -127,6 +127,11 @@ class Ledger:
             schema = T.StructType(QUALITY_LOG.fields[:4])
             self.log_quality(self._rows(rows, schema), run_id)
 
+    def log_broken_lines(self, table: str, n: int, run_id: str) -> None:
+        if n:
+            row = (table, "broken_lines", f"{n} lines with too many or too few fields", False)
+            self.log_quality(self._rows([row], T.StructType(QUALITY_LOG.fields[:4])), run_id)
+
     def log_rejects(self, table: str, counts: dict[str, int], run_id: str) -> None:
         """How many rows a load left out, by reason."""
         rows = [(table, f"rejected_{why}", f"{n} rows left out", False) for why, n in counts.items() if n]

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelscope.schemas import TableSpec
 
 
+# Columns of ``parsed`` beside the declared ones: the line as it came, and the raw values that did
+# not parse, by column. Both are null for a line that reads as declared.
+LINE, RESCUED = "_line", "_rescued"
+_BROKEN = "_broken"
+
+
 class SchemaDrift(Exception):
     """The extract's columns differ from the expected ones."""
 
@@ -38,13 +44,46 @@ def read_extract(spark: SparkSession, path: str | list[str], multi_line: bool =
     instead of shifting its values. ``multi_line`` keeps quoted line breaks inside one record and
     costs file splitting, so such extracts should arrive as many files.
     """
+    return _reader(spark, multi_line).csv(path)
+
+
+def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path)
+    )
+
+
+def read_lines(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
+    """The extract's columns as strings, past the drift gate, and the raw text of lines with more or
+    fewer fields than the header.
+
+    The header decides the schema, in the file's own order; a file with another header fails the read.
+    """
+    header = require_columns(read_extract(spark, path, spec.multi_line), spec).schema
+    schema = T.StructType([*header.fields, T.StructField(_BROKEN, T.StringType())])
+    return _reader(spark, spec.multi_line).option("columnNameOfCorruptRecord", _BROKEN).schema(schema).csv(path)
+
+
+def parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns of ``read_lines`` rows, typed, with ``LINE`` and ``RESCUED``.
+
+    Every line stays a row. The line of a row with the right number of fields is written anew from
+    them, as the reader keeps the text of broken lines only.
+    """
+    raw = [F.col(f"`{name}`") for name in schema.fieldNames()]
+    failed = {f.name: F.when(_failed(f), F.col(f"`{f.name}`")) for f in schema.fields if not _is_text(f)}
+    values = F.lit(None).cast("map<string,string>")
+    if failed:
+        values = F.map_from_arrays(F.array(*map(F.lit, failed)), F.array(*failed.values()))
+        values = F.map_filter(values, lambda _, value: value.isNotNull())
+        values = F.when(F.coalesce(*failed.values()).isNotNull(), values)
+    line = F.coalesce(F.col(_BROKEN), F.when(values.isNotNull(), F.to_csv(F.struct(*raw))))
+    return lines.select(
+        *[_cast(f).alias(f.name) for f in schema.fields], line.alias(LINE), values.alias(RESCUED)
     )
 
 
@@ -78,10 +117,10 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[_cast(f).alias(f.name) for f in schema.fields])
 
 
-def cast_failures(schema: T.StructType) -> list[Column]:
-    """Per non-text column: how many source values were present but did not parse."""
-    return [
-        F.count_if(F.col(f"`{f.name}`").isNotNull() & _cast(f).isNull()).alias(f"bad_{f.name}")
-        for f in schema.fields
-        if not isinstance(f.dataType, T.StringType)
-    ]
+def _is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType)
+
+
+def _failed(field: T.StructField) -> Column:
+    """A value is there but does not parse."""
+    return F.col(f"`{field.name}`").isNotNull() & _cast(field).isNull()

@@ -20,7 +20,7 @@ from parcelscope.plans import analyses, gold, quality
 from parcelscope.plans.calendar import calendar, calendar_over
 from parcelscope.plans.control import Ledger
 from parcelscope.plans.gold import Gold
-from parcelscope.plans.ingest import after_mark, bronze_table, full_load, incremental_load, rejects
+from parcelscope.plans.ingest import MODES, after_mark, bronze_table, full_load, incremental_load, rejects, rescued
 from parcelscope.plans.measures import SUMMABLE, Role, evaluate, implicit_sum
 from parcelscope.plans.pipeline import GOLD_ORDER
 from parcelscope.plans.silver import Silver
@@ -159,6 +159,62 @@ def in_incremental_load(spark, folder):
     return bronze_table(lake, "orders")
 
 
+@query
+def in_same_day_load(spark, folder):
+    """Two loads of one extract on one day, in each mode: the second stores nothing and fails nowhere."""
+    logs = []
+    for mode in MODES:
+        lake, ledger = _fresh_lake(spark)
+        source = _extract(lake, bronze_of(spark, folder)("orders"), "orders")
+        for run in ("run-1", "run-2"):
+            incremental_load(lake, ledger, "orders", source, run, MARK, mode=mode)
+        log = spark.table(lake.name("ops", "run_log")).join(ledger.marks(), "table_name")
+        logs.append(log.select(F.lit(mode).alias("mode"), "run_id", "rows_loaded", "status", "last_loaded_date"))
+    return reduce(DataFrame.unionAll, logs)
+
+
+def _damaged_items(items: DataFrame) -> DataFrame:
+    """CSV lines of the items: of eleven, one has no number for its price, one is short, one long,
+    and one opens a quote that it does not close."""
+    fields = [
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "shipping_limit_date" else F.col(c).cast("string")
+        for c in items.columns
+    ]
+    kind = F.pmod(F.col("order_id").cast("long") + F.col("order_item_id"), F.lit(11))
+    line = (
+        F.when(kind == 0, F.concat_ws(",", *fields[:5], F.lit("n/a"), fields[6]))
+        .when(kind == 1, F.concat_ws(",", *fields[:5]))
+        .when(kind == 2, F.concat_ws(",", *fields, F.lit("extra")))
+        .when(kind == 3, F.concat(F.concat_ws(",", *fields[:2]), F.lit(',"'), F.concat_ws(",", *fields[2:])))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    return items.select(line.alias(",".join(items.columns)))
+
+
+def _load_damaged(spark: SparkSession, folder: str) -> Lake:
+    lake, ledger = _fresh_lake(spark)
+    path = f"{lake.root}/landing/order_items"
+    lines = _damaged_items(bronze_of(spark, folder)("order_items"))
+    # one column, written as it is: neither its name nor its text is quoted
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    full_load(lake, ledger, "order_items", path, "run-1", RUN_DATE)
+    return lake
+
+
+@query
+def in_rescued(spark, folder):
+    """What did not read as declared in a damaged extract: line, column and raw value."""
+    lake = _load_damaged(spark, folder)
+    return rescued(lake, "order_items").select("run_id", "order_id", "order_item_id", "line", "column", "raw_value")
+
+
+@query
+def in_damaged_load(spark, folder):
+    """The bronze rows of a damaged extract: a row per line, with nulls for what did not read."""
+    items = bronze_table(_load_damaged(spark, folder), "order_items")
+    return items.select("order_id", "order_item_id", "seller_id", "shipping_limit_date", "price", "freight_value")
+
+
 @query
 def in_rejects(spark, folder):
     """Rows without an event time or dated after the run are kept apart, once."""

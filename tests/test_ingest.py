@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelscope.plans.calendar import calendar
 from parcelscope.plans.control import Ledger
-from parcelscope.plans.ingest import after_mark, bronze_table, full_load, incremental_load, rejects
+from parcelscope.plans.ingest import MODES, after_mark, bronze_table, full_load, incremental_load, rejects, rescued
 from parcelscope.plans.pipeline import build_gold, build_silver, check_bronze, check_gold, check_silver
 from parcelscope.schemas import BRONZE, SPECS
 from parcelscope.settings import scratch_dir
@@ -236,6 +236,50 @@ def test_run_date_mode_skips_late_rows_and_event_date_mode_does_not(lake, ledger
         incremental_load(lake, ledger, "orders", first, "r3", RUN_DAY, mode="whenever")
 
 
+@pytest.mark.parametrize("mode", MODES)
+def test_loads_that_bring_nothing_new(lake, ledger, extract, mode):
+    """The mark equals the run's day, the extract is the same, older or empty."""
+    day = date(2017, 1, 1)
+    first = extract(ORDERS + order_line("1", "2017-01-01 10:00:00"))
+    assert incremental_load(lake, ledger, "orders", first, "r1", day, mode=mode).rows == 1
+    assert ledger.mark("orders") == day
+    for run, text in (("r2", order_line("1", "2017-01-01 10:00:00")), ("r3", order_line("1", "2016-01-01")), ("r4", "")):
+        load = incremental_load(lake, ledger, "orders", extract(ORDERS + text), run, day, mode=mode)
+        assert (load.rows, load.mark) == (0, day)
+    assert rows(log(lake), "run_id", "rows_loaded", "status") == [
+        ("r1", 1, "success"), ("r2", 0, "success"), ("r3", 0, "success"), ("r4", 0, "success")
+    ]
+    assert rows(bronze_table(lake, "orders"), "order_id") == [("1",)]
+
+
+def test_what_does_not_read_is_kept_as_it_came(lake, ledger, extract):
+    lines = ["a,one,x,sp", "b,2", "c,3,z,mg,more", 'd,4,"z,mg', "e,5,z,mg", "f,VI"]
+    source = extract(SELLERS + "\n".join(lines) + "\n")
+    assert full_load(lake, ledger, "sellers", source, "r1", RUN_DAY).rows == 6
+    assert rows(bronze_table(lake, "sellers"), "seller_id", "seller_zip_code_prefix", "seller_state") == [
+        ("a", None, "sp"), ("b", 2, None), ("c", 3, "mg"), ("d", 4, None), ("e", 5, "mg"), ("f", None, None)
+    ]
+    assert rows(rescued(lake, "sellers"), "run_id", "line", "column", "raw_value") == [
+        ("r1", "a,one,x,sp", "seller_zip_code_prefix", "one"), ("r1", "b,2", None, None),
+        ("r1", "c,3,z,mg,more", None, None), ("r1", 'd,4,"z,mg', None, None),
+        ("r1", "f,VI", "seller_zip_code_prefix", "VI"),
+    ]
+    assert rows(lake.table("ops", "quality_log"), "check_type", "result") == [
+        ("broken_lines", "3 lines with too many or too few fields"),
+        ("cast_seller_zip_code_prefix", "2 values did not parse"),
+    ]
+
+
+def test_incremental_load_keeps_raw_values(lake, ledger, extract):
+    text = "1,c1,delivered,2017-01-01,soon,,,\n2,c2,delivered,yesterday,,,,\n"
+    incremental_load(lake, ledger, "orders", extract(ORDERS + text), "r1", RUN_DAY)
+    assert rows(rescued(lake, "orders"), "order_id", "column", "raw_value") == [
+        ("1", "order_approved_at", "soon"), ("2", "order_purchase_timestamp", "yesterday")
+    ]
+    assert rows(bronze_table(lake, "orders"), "order_id", "order_approved_at") == [("1", None)]
+    assert rows(rejects(lake, "orders"), "order_id", "reason") == [("2", "undated")]
+
+
 def test_rerun_after_a_crash_before_the_mark_moved(lake, ledger, extract, monkeypatch):
     source = extract(ORDERS + order_line("1", "2017-01-01") + order_line("2", "2017-01-02"))
 
