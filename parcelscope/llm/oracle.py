@@ -130,9 +130,120 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base b LEFT JOIN inside i ON b.r = i.r
 """
 
+_NEGATIVES = """
+WITH coded AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS code
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+         list_inner_product(a.code, c.code)::BIGINT AS score
+  FROM coded a JOIN coded c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def _field(column: str, text: str | None = None) -> str:
+    value = text or f"{column}::VARCHAR"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE octet_length(encode({value}))::VARCHAR || ':' || {value} END"
+
+
+def _leaf(text: str | None = None) -> str:
+    parts = [_field(c) for c in ("doc_id", "source", "lang", "n_chars")] + [_field("text", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _climb(name: str, foot: str, levels: int) -> str:
+    """Tables ``<name>0`` .. of (tree, pos, n, digest), sixteen nodes to one, from the ``foot`` up; a tree of
+    one node keeps it."""
+    tables = [f"{name}0 AS ({foot})"]
+    for k in range(1, levels + 1):
+        tables.append(
+            f"""{name}{k} AS (
+  SELECT tree, pos // 16 AS pos, any_value((n + 15) // 16) AS n,
+         CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+  FROM {name}{k - 1} GROUP BY tree, pos // 16)"""
+        )
+    return ",\n".join(tables)
+
+
+def _steps(name: str, levels: int) -> str:
+    """Siblings left and right of every node of ``<name>k``, as ``<name>step<k>``."""
+    return ",\n".join(
+        f"""{name}step{k} AS (
+  SELECT a.tree, a.pos, any_value(a.n) > 1 AS real,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM {name}{k} a JOIN {name}{k} b ON a.tree = b.tree AND a.pos // 16 = b.pos // 16 GROUP BY a.tree, a.pos)"""
+        for k in range(levels)
+    )
+
+
+def _merkle(levels: int = 6, tops: int = 4) -> str:
+    """Manifest and proofs of groups of up to 16 ** levels documents and up to 16 ** tops groups."""
+    shifted = "list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, x))"
+    letters = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)"
+    crc = f"list_reduce({letters}, lambda crc, x: {shifted}, 4294967295::BIGINT)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = [("t", "tree", "pos", k) for k in range(levels)] + [("g", "0", "tree", k) for k in range(tops)]
+    joins = "\n".join(
+        f"JOIN {name}step{k} {name}_{k} ON {name}_{k}.tree = d.{tree} AND {name}_{k}.pos = d.{at} // {16**k}"
+        if tree != "0"
+        else f"JOIN {name}step{k} {name}_{k} ON {name}_{k}.pos = d.{at} // {16**k}"
+        for name, tree, at, k in path
+    )
+    proof, folds = "", []
+    for n, (name, _, _, k) in enumerate(path):
+        step = f"{name}_{k}"
+        proof += f"{' || ' if proof else ''}CASE WHEN {step}.real THEN {step}.l || {step}.r ELSE '' END"
+        folds.append(f"{step}.real AS real{n}, {step}.l AS l{n}, {step}.r AS r{n}")
+    turns = ["f0 AS (SELECT *, claimed AS f FROM paths)"]
+    for n in range(len(path)):
+        turns.append(
+            f"f{n + 1} AS (SELECT * REPLACE (CASE WHEN real{n} THEN sha256(l{n} || f || r{n}) ELSE f END AS f) FROM f{n})"
+        )
+    return f"""
+WITH hashed AS (
+  SELECT doc_id, source, {_leaf()} AS leaf,
+         CASE WHEN xor({crc}, 4294967295) % 5 = 0 THEN {_leaf(lowered)} ELSE {_leaf()} END AS claimed
+  FROM documents),
+sources AS (
+  SELECT source, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree
+  FROM (SELECT DISTINCT source FROM hashed)),
+d AS (
+  SELECT doc_id, tree, leaf, claimed,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed JOIN sources ON hashed.source IS NOT DISTINCT FROM sources.source),
+{_climb('t', 'SELECT tree, pos, n, leaf AS digest FROM d', levels)},
+{_climb('g', f'SELECT 0 AS tree, tree AS pos, count(*) OVER () AS n, digest FROM t{levels}', tops)},
+{_steps('t', levels)},
+{_steps('g', tops)},
+paths AS (
+  SELECT d.doc_id, d.leaf, d.claimed, t{levels}.digest AS subroot, g{tops}.digest AS root,
+         sha256({proof}) AS proof_sha256, {', '.join(folds)}
+  FROM d JOIN t{levels} ON t{levels}.tree = d.tree CROSS JOIN g{tops}
+  {joins}),
+{', '.join(turns)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{len(path)}
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_quality": _QUALITY,
     "op1_url_rules": _URL_RULES,
     "op6_chat": _CHAT,
     "op7_mixing": _MIXING,
+    "op11_merkle": _merkle(),
+    "op13_negatives": _NEGATIVES,
 }

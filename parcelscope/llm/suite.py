@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import byte_pairs, chat, licenses, mixing, neighbours, pseudonyms, quality, simhash, url_rules, wrappers
+from parcelscope.llm import (
+    byte_pairs, chat, licenses, merkle, mixing, negatives, neighbours, pseudonyms, quality, simhash, token_counts,
+    url_rules, wrappers,
+)
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.text import table
 
 # A key for tests and demonstrations; production passes its own to the operator.
 PSEUDONYM_KEY = "not a secret"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -26,11 +31,11 @@ def query(fn: Query) -> Query:
     return run
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     """The vocabulary file, installed with the public tokenizers package on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -100,3 +105,37 @@ def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 def op10_wrappers(spark: SparkSession, folder: str) -> DataFrame:
     rows = wrappers.with_main_text(table(spark, folder, "pages"), carry=["page_id", "url"])
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents, held against a copy in which one document in five is lower-cased."""
+    docs = table(spark, folder, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.translate("text", upper, upper.lower())
+    touched = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    claimed = merkle.leaf(*[F.when(touched, lowered).otherwise(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS])
+    made = merkle.manifest(docs, carry={"claimed": claimed})
+    root = F.lit(made.root)
+    folded = merkle.folded(F.col("claimed"), F.col("path"))
+    rows = merkle.proofs(made).select(
+        F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    )
+    rows = token_counts.with_counts(docs, tokenizer_path(PIECES), keep=["doc_id", "n_bytes"])
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
