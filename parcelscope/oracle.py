@@ -458,6 +458,34 @@ _COORDINATES = (
     "round(geolocation_lat, 6) AS geolocation_lat, round(geolocation_lng, 6) AS geolocation_lng"
 )
 
+_MARGINS = (
+    ("year",), ("customer_state",), ("product_category_english",), ("year", "customer_state"),
+    ("customer_state", "product_category_english"), (),
+)
+
+
+def _margin(axes: tuple[str, ...]) -> str:
+    """One set of axes of the margins, on its own."""
+    every = ("year", "customer_state", "product_category_english")
+    by = "".join(f"{a}, " for a in axes)
+    shown = ", ".join(a if a in axes else f"NULL AS {a}" for a in every)
+    group = f"GROUP BY {', '.join(axes)}" if axes else ""
+    return f"""
+        SELECT {shown}, '{", ".join(axes)}' AS margin, sum(ltv)::DOUBLE AS total_revenue,
+               nullif(sum(orders), 0)::DOUBLE AS total_orders, nullif(count(customer_key), 0) AS total_customers,
+               round(nullif(sum(on_time), 0)::DOUBLE / sum(n), 6) AS on_time_rate,
+               round(sum(scores)::DOUBLE / sum(n_scores), 6) AS avg_review_score,
+               round(nullif(count(*) FILTER (WHERE n >= 2), 0)::DOUBLE / count(customer_key), 6) AS repeat_customer_rate,
+               round(sum(ltv)::DOUBLE / count(ltv), 6) AS clv
+        FROM (SELECT {by}customer_key, sum(pv) AS ltv, sum(n) AS n, count(order_id) AS orders, sum(on_time) AS on_time,
+                     sum(scores) AS scores, sum(n_scores) AS n_scores
+              FROM (SELECT {by}customer_key, order_id, max(payment_value) AS pv, count(*) AS n,
+                           count(*) FILTER (WHERE coalesce(is_late, 0) = 0) AS on_time,
+                           sum(review_score) AS scores, count(review_score) AS n_scores
+                    FROM m_fact GROUP BY {by}customer_key, order_id)
+              GROUP BY {by}customer_key) {group}"""
+
+
 # The damage done to the items' lines, see the query.
 _DAMAGED = """
         SELECT order_id, order_item_id, seller_id, shipping_limit_date, price, freight_value, kind,
@@ -468,6 +496,29 @@ _DAMAGED = """
                      concat_ws(',', product_id, seller_id, strftime(shipping_limit_date, '%Y-%m-%d %H:%M:%S')) AS b
               FROM r_order_items)"""
 
+# Customers as known on the snapshot days, and their versions: islands of equal attributes.
+_HISTORY = {
+    "days": """
+        SELECT day, coalesce(lead(day) OVER (ORDER BY day), DATE '9999-12-31') AS until
+        FROM (VALUES (DATE '1994-12-31'), (DATE '1995-12-31'), (DATE '1996-12-31'), (DATE '1998-12-31')) v(day)""",
+    "known": """
+        SELECT day, until, customer_unique_id, customer_city, customer_state
+        FROM days JOIN (SELECT c.*, CAST(order_purchase_timestamp AS DATE) AS bought
+                        FROM s_customers c JOIN s_orders o USING (customer_id)) ON bought <= day
+        QUALIFY row_number() OVER (PARTITION BY day, customer_unique_id ORDER BY customer_id DESC) = 1""",
+    "marked": """
+        SELECT *, lag(until) OVER w IS NOT DISTINCT FROM day AND lag(customer_city) OVER w IS NOT DISTINCT FROM customer_city
+                  AND lag(customer_state) OVER w IS NOT DISTINCT FROM customer_state AS goes_on
+        FROM known WINDOW w AS (PARTITION BY customer_unique_id ORDER BY day)""",
+    "islands": """
+        SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY customer_unique_id ORDER BY day) AS island
+        FROM marked""",
+    "versions": """
+        SELECT customer_unique_id, any_value(customer_city) AS customer_city, any_value(customer_state) AS customer_state,
+               min(day) AS effective_start_date, nullif(max(until), DATE '9999-12-31') AS effective_end_date
+        FROM islands GROUP BY customer_unique_id, island""",
+}
+
 _SQL: dict[str, str] = {
     "in_incremental_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS purchase_date
@@ -534,6 +585,14 @@ _SQL: dict[str, str] = {
     ),
     "st_incremental_events": f"""
         SELECT event_id, {_clock('ts')} AS ts, user_id, event_type, value FROM events""",
+    "st_keyed_orders": _with(
+        f"""
+        SELECT order_id, {_clock('order_purchase_timestamp')} AS order_purchase_timestamp,
+               CASE WHEN order_purchase_timestamp IS NULL THEN 'undated'
+                    WHEN order_purchase_timestamp < TIMESTAMP '1993-01-01' AND order_id::BIGINT % 10 = 3 THEN 'late'
+                    ELSE 'stored' END AS reason
+        FROM r_orders"""
+    ),
     "sv_orders": _silver("orders", **_ORDER_CLOCKS),
     "sv_order_items": _silver(
         "order_items",
@@ -598,6 +657,20 @@ _SQL: dict[str, str] = {
         """SELECT * REPLACE (price::DOUBLE AS price, freight_value::DOUBLE AS freight_value,
                              payment_value::DOUBLE AS payment_value) FROM g_fact_orders"""
     ),
+    "gd_dim_customers_history": _with(
+        """
+        SELECT md5(customer_unique_id) AS customer_key, *, effective_end_date IS NULL AS is_current FROM versions""",
+        **_HISTORY,
+    ),
+    "gd_fact_asof": _with(
+        """
+        SELECT order_id, order_item_key, customer_key AS member_key, order_date, price, customer_city, customer_state,
+               effective_start_date
+        FROM (SELECT *, strptime(order_date_key::VARCHAR, '%Y%m%d')::DATE AS order_date FROM g_fact_orders)
+        LEFT JOIN versions ON customer_key = md5(customer_unique_id) AND effective_start_date <= order_date
+                          AND order_date < coalesce(effective_end_date, DATE '9999-12-31')""",
+        **_HISTORY,
+    ),
     "qc_bronze": _bronze_checks(),
     "qc_silver": _with(_silver_checks()),
     "qc_gold": _gold_checks(),
@@ -645,6 +718,20 @@ _SQL: dict[str, str] = {
          AND f.full_date >= date_trunc('month', m.last) - INTERVAL 2 MONTH
         GROUP BY m.year, m.month"""
     ),
+    "me_review_rolling_daily": _with(
+        """
+        SELECT d.full_date, f.customer_state, round(avg(f.review_score), 6) AS review_score_rolling_3m
+        FROM g_dim_date d JOIN m_fact f
+          ON f.full_date <= d.full_date AND f.full_date >= d.full_date + INTERVAL 1 DAY - INTERVAL 3 MONTH
+        GROUP BY d.full_date, f.customer_state"""
+    ),
+    "me_margins": _with(" UNION ALL ".join(map(_margin, _MARGINS))),
+    "me_distinct_from_sketches": _with(
+        """
+        SELECT year, customer_state, count(DISTINCT order_id) AS total_orders_approx,
+               count(DISTINCT customer_key) AS total_customers_approx
+        FROM m_fact GROUP BY year, customer_state"""
+    ),
     "me_revenue_yoy": _with(
         """
         SELECT coalesce(c.year, p.year + 1)::SMALLINT AS year,
@@ -705,6 +792,7 @@ _SQL: dict[str, str] = {
         GROUP BY product_category_english"""
     ),
     "rl_seller": _with(_revenue("year", where="seller_state = 'NATION_1'")),
+    "rl_pruned": _with(_revenue("year", where="seller_state = 'NATION_1' AND year = 1996")),
     "rl_region": _with(_revenue("year, customer_state", where="customer_state = 'NATION_1'")),
     "an_lag_vs_score": _with(
         """
@@ -759,6 +847,8 @@ _OUTPUT: dict[str, dict[str, str]] = {
     "sv_products": {"product_photos_qty": "DOUBLE"},
     "gd_dim_date": {"full_date": "VARCHAR", "year": "DOUBLE"},
     "gd_seller_stats": {"total_orders": "DOUBLE"},
+    "gd_dim_customers_history": {"effective_start_date": "VARCHAR", "effective_end_date": "VARCHAR"},
+    "gd_fact_asof": {"order_date": "VARCHAR", "effective_start_date": "VARCHAR", "price": "DOUBLE"},
     "gd_dim_sellers": {"total_orders": "DOUBLE"},
     "gd_latest_review": {"review_score": "DOUBLE"},
     "gd_fact_orders": {
@@ -772,16 +862,33 @@ _OUTPUT: dict[str, dict[str, str]] = {
     "me_totals": {"total_orders": "DOUBLE", "late_orders": "DOUBLE"},
     "me_delivery_by_state": {"late_orders": "DOUBLE"},
     "me_review_rolling_3m": {"year": "DOUBLE"},
+    "me_review_rolling_daily": {"full_date": "VARCHAR"},
+    "me_margins": {"year": "DOUBLE"},
+    "me_distinct_from_sketches": {"year": "DOUBLE"},
     "me_revenue_yoy": {"year": "DOUBLE"},
     "me_orders_delivered": {
         "year": "DOUBLE", "orders_delivered": "DOUBLE", "total_orders": "DOUBLE"
     },
     "me_revenue_by_category_filtered": {"total_orders": "DOUBLE"},
     "rl_seller": {"year": "DOUBLE", "total_orders": "DOUBLE"},
+    "rl_pruned": {"year": "DOUBLE", "total_orders": "DOUBLE"},
     "rl_region": {"year": "DOUBLE", "total_orders": "DOUBLE"},
 }
 
 _SQL["sv_managed_geolocation"] = _SQL["sv_geolocation"]
+_SQL["gd_refreshed_rows"] = _with(
+    """
+    SELECT 'dim_date' AS table_name, strftime(d, '%Y%m%d') AS row_key, strftime(d, '%Y-%m-%d') AS first_value,
+           year(d)::VARCHAR AS second_value
+    FROM range(DATE '1995-01-01', DATE '2004-01-01', INTERVAL 1 DAY) r(d)
+    UNION ALL SELECT 'dim_customers', customer_key, customer_city, customer_state FROM g_dim_customers
+    UNION ALL SELECT 'dim_sellers', seller_key, seller_city, total_orders::VARCHAR FROM g_dim_sellers
+    UNION ALL SELECT 'dim_products', product_key, product_category_english, product_weight_g::VARCHAR FROM g_dim_products
+    UNION ALL SELECT 'fact_orders', order_item_key, order_id, payment_value::VARCHAR FROM g_fact_orders"""
+)
+_SQL["gd_fact_incremental"] = _SQL["gd_fact_orders"]
+_OUTPUT["gd_fact_incremental"] = _OUTPUT["gd_fact_orders"]
+_SQL["qc_from_footers"] = _SQL["qc_bronze"]
 _SQL["qc_logged"] = _SQL["qc_silver"]
 _SQL["qc_failures"] = (
     f"SELECT * FROM ({_SQL['qc_silver']}) WHERE NOT passed "

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from parcelscope.functions.ratios import blank_if_zero, ratio
 from parcelscope.operators.periods import same_days_last_year, trailing_months
+from parcelscope.plans.refresh import MONTH, month_of
 
 FACT = "fact_orders"
 DATES = "dim_date"
@@ -163,13 +164,19 @@ def in_context(
         dim = model[table]
         if tests:
             dim = dim.where(_all(tests))
+        same = F.col(fact_key) == F.col("_key")
+        month = []
+        if table == DATES and tests and fact_key == RELATIONSHIPS[DATES][0] and MONTH in rows.columns:
+            # a fact stored by month: the days left by the filters also pick the files to read
+            month = [month_of(F.col(dim_key)).alias("_month")]
+            same &= F.col(MONTH) == F.col("_month")
         dim = dim.select(
-            F.col(dim_key).alias("_key"), *[F.col(a).alias(f"_axis_{a}") for a in axes]
+            F.col(dim_key).alias("_key"), *month, *[F.col(a).alias(f"_axis_{a}") for a in axes]
         )
         if table == DATES:
             dim = F.broadcast(dim)  # one row per calendar day
         how = "left" if not tests else "inner" if axes else "left_semi"
-        rows = rows.join(dim, F.col(fact_key) == F.col("_key"), how).drop("_key")
+        rows = rows.join(dim, same, how).drop("_key", "_month")
     axis_columns = [
         F.col(a.column if a.table == FACT else f"_axis_{a.column}").alias(a.column)
         for a in context.by
@@ -403,20 +410,21 @@ def _period_names(context, group) -> list[Column]:
 def _rolling(model, context, needs) -> DataFrame:
     """Scores of the three months up to each group's last calendar day.
 
-    The fact is reduced to one row per day and remaining axis; the days are then repeated for every
-    window they belong to, so the work after the first pass depends on the calendar only.
+    The fact is reduced to one row per day and remaining axis; the work after that depends on the
+    calendar only.
     """
     days, group = _days_in_context(model, context)
-    windows = trailing_months(days, model[DATES], group, 3)
+    ends = days.groupBy(*group).agg(F.max("full_date").alias("last")).where(F.col("last").isNotNull())
     other = context.without_dates()
     rows = in_context(model, other, ["order_date_key", "review_score"])
+    # axes that are the key itself stay under their own name
     daily = rows.groupBy(*_keys(other.names, "order_date_key")).agg(
         *[ROW_TOTALS[n][1]().alias(f"_{n}") for n in needs]
     )
-    windowed = daily.join(windows, F.col("order_date_key") == F.col("date_key"))
-    return windowed.groupBy(*_period_names(context, group)).agg(
-        *[F.sum(f"_{n}").alias(f"_{n}") for n in needs]
-    )
+    known = model[DATES].select(F.col("date_key").alias("_key"), F.col("full_date").alias("_day"))
+    dated = daily.join(F.broadcast(known), F.col("order_date_key") == F.col("_key")).drop("_key")
+    windowed = trailing_months(dated, other.names, "_day", [f"_{n}" for n in needs], ends, 3)
+    return windowed.select(*_period_names(context, group), *[f"_{n}" for n in needs])
 
 
 def _yoy(model, context, needs) -> DataFrame:
@@ -482,3 +490,58 @@ def evaluate(
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     merged = stacked.groupBy(*names).agg(*[F.max(m).alias(m) for m in measures])
     return merged.select(*names, *measures)
+
+
+def margins(
+    model: Mapping[str, DataFrame],
+    measures: Sequence[str],
+    sets: Sequence[Sequence[str]],
+    where: Mapping[str, Any] | None = None,
+    role: Role | None = None,
+) -> DataFrame:
+    """``evaluate`` over several sets of axes at once, the empty set being the total.
+
+    One row per set and axis value: the axes, null where a set leaves them out, ``margin``, the names
+    of the set's axes, and the measures. The fact is read once and reduced to its orders, customers
+    and axes; the sets multiply only these. As an order counts once in every group it has a part in,
+    each set takes maxima per order and counts customers anew, and no set is rolled up from another.
+    """
+    odd = [m for m in measures if m not in MEASURES or MEASURES[m].family not in ("orders", "customers")]
+    if odd:
+        raise KeyError(f"measures that margins do not give: {odd}")
+    names = list(dict.fromkeys(name for axes in sets for name in axes))
+    context = Context.of(names, where, role)
+    axes = context.names
+    if {"customer_key", "order_id"} & set(axes):
+        raise ValueError("orders and customers are what margins count, not axes")
+    needs = list(dict.fromkeys(n for m in measures for n in MEASURES[m].needs if n in ROW_TOTALS))
+    wanted = {"order_id", "customer_key", "payment_value", *(c for n in needs for c in ROW_TOTALS[n][0])}
+    rows = in_context(model, context, sorted(wanted))
+    one = F.count(F.lit(1)).alias("_rows")
+    grain = rows.groupBy(*axes, "customer_key", "order_id").agg(
+        F.max("payment_value").alias("_payment"), one, *[ROW_TOTALS[n][1]().alias(f"_{n}") for n in needs]
+    )
+    grouped = [[F.col(Axis.of(a).column) for a in own] + [F.col("customer_key"), F.col("order_id")] for own in sets]
+    added = [F.sum(f"_{n}").alias(f"_{n}") for n in ["rows", *needs]]
+    keys = [*axes, "_set"]
+    orders = grain.groupingSets(grouped, *axes, "customer_key", "order_id").agg(
+        F.grouping_id().alias("_set"), F.max("_payment").alias("_payment"), *added
+    )
+    people = orders.groupBy(*keys, "customer_key").agg(
+        F.sum("_payment").alias("_ltv"), F.count("order_id").alias("_orders"),
+        F.count(F.lit(1)).alias("_any_orders"), *added,
+    )
+    totals = people.groupBy(*keys).agg(
+        F.sum("_ltv").alias("_revenue"), F.sum("_orders").alias("_orders"),
+        F.sum("_ltv").alias("_ltv"), F.count("_ltv").alias("_n_ltv"), F.count("customer_key").alias("_customers"),
+        F.count_if(F.col("_rows") >= 2).alias("_repeat_rows"),
+        F.count_if(F.col("_any_orders") >= 2).alias("_repeat_orders"),
+        *[F.sum(f"_{n}").alias(f"_{n}") for n in needs],
+    )
+    bit = {a: 1 << (len(axes) + 1 - i) for i, a in enumerate(axes)}  # the two keys are the lowest bits
+    label = F.lit(None).cast("string")
+    for own in sets:
+        inside = [Axis.of(a).column for a in own]
+        left_out = sum(bit[a] for a in axes if a not in inside)
+        label = F.when(F.col("_set") == left_out, F.lit(", ".join(inside))).otherwise(label)
+    return totals.select(*axes, label.alias("margin"), *[MEASURES[m].value().alias(m) for m in measures])

@@ -8,13 +8,16 @@ matter. Nothing is collected: a suite is a DataFrame, and ``logged`` appends it
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelscope.functions.ratios import ratio
 from parcelscope.operators.checks import check, percent, stacked, text, to_rows
-from parcelscope.operators.joins import orphan_keys, totals_side_by_side
+from parcelscope.operators.joins import totals_side_by_side
+from parcelscope.operators.references import Relation, orphans
 from parcelscope.schemas import SPECS
 
 Expected = int | DataFrame | None
@@ -79,19 +82,27 @@ def bronze_suite(
 def _bronze_table(
     name: str, df: DataFrame, expected: Expected, tolerance: float
 ) -> DataFrame:
+    totals = df.agg(*bronze_totals(name).values())
+    return bronze_checks(name, totals, expected, tolerance)
+
+
+def bronze_totals(name: str) -> dict[str, Column]:
+    """The totals that a bronze table is judged by, by name."""
     spec = SPECS[name]
-    key_null = F.col(spec.key[0]).isNull()
-    for column in spec.key[1:]:
-        key_null = key_null | F.col(column).isNull()
-    totals = [_count().alias("n"), F.count_if(key_null).alias("null_keys")]
+    key_null = reduce(or_, [F.col(column).isNull() for column in spec.key])
+    totals = {"n": _count(), "null_keys": F.count_if(key_null)}
     if spec.check_duplicates:
         # a struct counts a key with a null part once, as a distinct over rows does
-        totals.append(F.count_distinct(F.struct(*spec.key)).alias("n_keys"))
+        totals["n_keys"] = F.count_distinct(F.struct(*spec.key))
     if spec.date_range_column:
-        totals += [
-            F.min(spec.date_range_column).alias("first"),
-            F.max(spec.date_range_column).alias("last"),
-        ]
+        totals["first"] = F.min(spec.date_range_column)
+        totals["last"] = F.max(spec.date_range_column)
+    return {total: column.alias(total) for total, column in totals.items()}
+
+
+def bronze_checks(name: str, totals: DataFrame, expected: Expected, tolerance: float) -> DataFrame:
+    """The check rows of one bronze table from its one row of totals."""
+    spec = SPECS[name]
     off = ratio(F.abs(F.col("n") - F.col("expected")), F.col("expected"))
     keys = ", ".join(spec.key)
     checks = [
@@ -121,7 +132,7 @@ def _bronze_table(
         checks.append(
             check(name, "date_range", text(_clock("first"), " to ", _clock("last")), True)
         )
-    return to_rows(_with_expected(df.agg(*totals), expected), checks)
+    return to_rows(_with_expected(totals, expected), checks)
 
 
 def _clock(column: str) -> Column:
@@ -139,11 +150,8 @@ def silver_suite(
     own = [
         _silver_table(t, tables[t], bronze_counts.get(t), invalid_score_tolerance) for t in tables
     ]
-    references = [
-        _silver_reference(tables[child], child, column, tables[parent], orphan_tolerance)
-        for child, column, parent in SILVER_REFERENCES
-    ]
-    return stacked([*own, *references, _silver_revenue(tables, revenue_tolerance)])
+    references = silver_references(tables, orphan_tolerance)
+    return stacked([*own, references, _silver_revenue(tables, revenue_tolerance)])
 
 
 def _silver_table(
@@ -212,15 +220,16 @@ def _silver_table(
     return to_rows(_with_expected(df.agg(*totals), bronze_count), checks)
 
 
-def _silver_reference(
-    child: DataFrame, name: str, column: str, parent: DataFrame, tolerance: int
-) -> DataFrame:
-    orphans = orphan_keys(child, column, parent, column).agg(_count().alias("n"))
-    n = F.col("n")
-    return to_rows(
-        orphans,
-        [check(name, f"ref_integrity_{column}", text(n, " keys without a parent"), n <= tolerance)],
-    )
+def silver_references(tables: Mapping[str, DataFrame], tolerance: int) -> DataFrame:
+    """One check row per reference; a null counts as one key without a parent."""
+    ends = {t: tables[t] for child, _, parent in SILVER_REFERENCES for t in (child, parent)}
+    found = orphans([Relation(ends[c], column, ends[p], column) for c, column, p in SILVER_REFERENCES])
+    checks = []
+    for k, (child, column, _) in enumerate(SILVER_REFERENCES):
+        n = F.col(f"keys_{k}") + (F.col(f"nulls_{k}") > 0).cast("long")
+        result = text(n, " keys without a parent")
+        checks.append(check(child, f"ref_integrity_{column}", result, n <= tolerance))
+    return to_rows(found, checks)
 
 
 def _silver_revenue(tables: Mapping[str, DataFrame], tolerance: float) -> DataFrame:
@@ -251,18 +260,14 @@ def gold_suite(
 ) -> DataFrame:
     """Completeness, references, key nulls, score range and revenue of the fact table.
 
-    The fact is read once for its own checks, once for revenue and once per reference, each time
+    The fact is read once for its own checks, once for revenue and once for all references, each time
     only the columns needed; pass a stored table.
     """
     fact = gold["fact_orders"]
-    references = [
-        _gold_reference(fact, column, gold[dim], dim_key, null_allowed)
-        for column, dim, dim_key, null_allowed in GOLD_REFERENCES
-    ]
     return stacked(
         [
             _gold_fact(fact, silver["order_items"], null_score_tolerance),
-            *references,
+            gold_references(gold),
             _gold_revenue(
                 fact, silver["order_payments"], silver["order_items"], revenue_tolerance
             ),
@@ -309,17 +314,15 @@ def _gold_fact(fact: DataFrame, items: DataFrame, null_score_tolerance: int) ->
     )
 
 
-def _gold_reference(
-    fact: DataFrame, column: str, dim: DataFrame, dim_key: str, null_allowed: bool
-) -> DataFrame:
-    orphans = orphan_keys(fact, column, dim, dim_key)
-    if null_allowed:
-        orphans = orphans.where(F.col("orphan").isNotNull())
-    n = F.coalesce(F.col("n"), F.lit(0))
-    return to_rows(
-        orphans.agg(F.sum("n_rows").alias("n")),
-        [check("fact_orders", f"{column}_orphans", text(n, " orphans"), n == 0)],
-    )
+def gold_references(gold: Mapping[str, DataFrame]) -> DataFrame:
+    """One check row per reference of the fact, in rows without a match."""
+    tables = {t: gold[t] for t in {"fact_orders", *(dim for _, dim, _, _ in GOLD_REFERENCES)}}
+    relations = [Relation(tables["fact_orders"], c, tables[dim], key) for c, dim, key, _ in GOLD_REFERENCES]
+    checks = []
+    for k, (column, _, _, null_allowed) in enumerate(GOLD_REFERENCES):
+        n = F.col(f"rows_{k}") if null_allowed else F.col(f"rows_{k}") + F.col(f"nulls_{k}")
+        checks.append(check("fact_orders", f"{column}_orphans", text(n, " orphans"), n == 0))
+    return to_rows(orphans(relations), checks)
 
 
 def _gold_revenue(

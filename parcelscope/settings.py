@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +58,40 @@ def build_session(
     return builder.getOrCreate()
 
 
+# The folders of the runs that are open, the innermost last.
+_RUNS: ContextVar[tuple[str, ...]] = ContextVar("runs", default=())
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, label: str) -> Iterator[None]:
+    """Scratch folders made inside lie in one folder, which is removed at the end.
+
+    For work whose result is stored elsewhere by then. A run that dies with its driver leaves its
+    folder; nobody else uses it.
+    """
+    folder = scratch_dir(spark, label)
+    token = _RUNS.set((*_RUNS.get(), folder))
+    try:
+        yield
+    finally:
+        _RUNS.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     Where ``spark.checkpoint.dir`` is unset, a session in one process (unit tests) gets a local
     folder; one with executors elsewhere is refused, as their local folders are not shared.
     """
+    if _RUNS.get():
+        return f"{_RUNS.get()[-1]}/{label}-{uuid.uuid4().hex}"
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master"):

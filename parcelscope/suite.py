@@ -16,20 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelscope.operators.dedupe import latest_per_key
 from parcelscope.plans import analyses, gold, quality
 from parcelscope.plans.calendar import calendar, calendar_over
 from parcelscope.plans.control import Ledger
 from parcelscope.plans.gold import Gold
+from parcelscope.plans.history import apply_snapshot, as_of_join
 from parcelscope.plans.ingest import MODES, after_mark, bronze_table, full_load, incremental_load, rejects, rescued
-from parcelscope.plans.measures import SUMMABLE, Role, evaluate, implicit_sum
+from parcelscope.plans.footers import suite_from_footers
+from parcelscope.plans.measures import SUMMABLE, Role, evaluate, implicit_sum, margins
 from parcelscope.plans.pipeline import GOLD_ORDER
+from parcelscope.plans.refresh import MONTH, MonthlyFact, changes_between
 from parcelscope.plans.silver import Silver
+from parcelscope.plans.sketches import COUNTED, distinct_from_sketches, store_sketches
 from parcelscope.schemas import SPECS
 from parcelscope.settings import configure, scratch_dir, staged
 from parcelscope.sources.extracts import SchemaDrift
 from parcelscope.sources.lake import Lake
 from parcelscope.sources.standins import Standins
 from parcelscope.streaming.incremental import append_new, stream_files
+from parcelscope.streaming.keyed import KeyedStream
 
 SPINE = (date(1995, 1, 1), date(2003, 12, 31))
 AS_OF = date(2018, 12, 31)
@@ -278,6 +284,26 @@ def st_incremental_events(spark, folder):
     return stored.select("event_id", "ts", "user_id", "event_type", "value")
 
 
+@query
+def st_keyed_orders(spark, folder):
+    """Orders in three arrivals through a keyed stream: the second repeats a month of the first and brings
+    what was held back of it, the third brings old orders, which are late; then a run with nothing new."""
+    base = scratch_dir(spark, "keyed")
+    orders = bronze_of(spark, folder)("orders").select("order_id", "order_purchase_timestamp")
+    number, day = F.col("order_id").cast("long"), F.to_date("order_purchase_timestamp")
+    old = (F.pmod(number, F.lit(10)) == 3) & (day < F.lit(date(1993, 1, 1)))
+    december = day.between(date(1996, 12, 1), date(1996, 12, 31))
+    held = december & (F.pmod(number, F.lit(5)) == 0)
+    first, second = day <= F.lit(date(1996, 12, 31)), day <= F.lit(date(1998, 3, 31))
+    arrivals = [first & ~old & ~held, (~first & second) | december, day.isNull() | ~second | old]
+    keyed = KeyedStream(spark, f"{base}/orders", orders.schema, ("order_id",), "order_purchase_timestamp", 45)
+    for n, arrived in enumerate(arrivals):
+        orders.where(arrived).write.parquet(f"{base}/landing/{n}")
+        keyed.take(stream_files(spark, f"{base}/landing/*", orders.schema))
+    keyed.take(stream_files(spark, f"{base}/landing/*", orders.schema))
+    return keyed.rows().withColumn("reason", F.lit("stored")).unionByName(keyed.late())
+
+
 # silver
 
 
@@ -331,15 +357,42 @@ def sv_stored_tables(spark, folder):
 # gold
 
 
-@query
-def gd_full_refresh(spark, folder):
-    """The five gold tables refreshed twice, counted by name."""
+def _refreshed_gold(spark: SparkSession, folder: str) -> Lake:
+    """A lake whose five gold tables were each refreshed twice, first by a few rows."""
     lake, _ = _fresh_lake(spark)
     model = model_of(spark, folder)
     for table in GOLD_ORDER:
         stored = staged(model[table], table)
         for df in (stored.limit(3), stored):
             lake.refresh(df, "gold", table)
+    return lake
+
+
+@query
+def gd_refreshed_rows(spark, folder):
+    """The rows of the five gold tables after two refreshes, each under its table, key and two values."""
+    lake = _refreshed_gold(spark, folder)
+    shown = {
+        "dim_date": ("date_key", "full_date", "year"),
+        "dim_customers": ("customer_key", "customer_city", "customer_state"),
+        "dim_sellers": ("seller_key", "seller_city", "total_orders"),
+        "dim_products": ("product_key", "product_category_english", "product_weight_g"),
+        "fact_orders": ("order_item_key", "order_id", "payment_value"),
+    }
+    names = ("row_key", "first_value", "second_value")
+    rows = [
+        lake.table("gold", t).select(
+            F.lit(t).alias("table_name"), *[F.col(c).cast("string").alias(n) for c, n in zip(columns, names)]
+        )
+        for t, columns in shown.items()
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
+@query
+def gd_full_refresh(spark, folder):
+    """The five gold tables refreshed twice, counted by name."""
+    lake = _refreshed_gold(spark, folder)
     counts = [
         lake.table("gold", t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for t in GOLD_ORDER
     ]
@@ -413,12 +466,101 @@ def gd_fact_orders(spark, folder):
     return model_of(spark, folder)["fact_orders"]
 
 
-# quality
+def _grown_silver(spark: SparkSession, folder: str, step: int) -> Silver:
+    """Silver after each of three loads: orders up to a day, later ones and some reviews and sellers
+    missing at first."""
+    bronze = bronze_of(spark, folder)
+    until = [date(1994, 12, 31), date(1997, 3, 15), date(9999, 1, 1)][step]
+
+    def table(name: str) -> DataFrame:
+        rows = bronze(name)
+        if name == "orders":
+            return rows.where(~after_mark("order_purchase_timestamp", until))
+        if name == "order_reviews" and step < 2:
+            return rows.where(F.pmod(F.col("review_id").cast("long"), F.lit(1000)) != 17)
+        if name == "sellers" and step == 0:
+            return rows.where(F.pmod(F.col("seller_id").cast("long"), F.lit(7)) != 3)
+        return rows
+
+    return Silver(table)
 
 
 @query
-def qc_bronze(spark, folder):
-    """Bronze checks; the expected counts are those of the provided source tables."""
+def gd_fact_incremental(spark, folder):
+    """The fact by month after a first build and two refreshes of the months that changed."""
+    lake, _ = _fresh_lake(spark)
+    fact = MonthlyFact(lake)
+    before = _grown_silver(spark, folder, 0)
+    dates = calendar(spark, *SPINE, AS_OF)
+    fact.rebuild(Gold(before, dates)["fact_orders"])
+    for step in (1, 2):
+        after = _grown_silver(spark, folder, step)
+        fact.refresh(after, Gold(after, dates), changes_between(before, after))
+        before = after
+    return fact.read().drop(MONTH)
+
+
+@query
+def rl_pruned(spark, folder):
+    """Revenue of one year and one seller state from the fact stored by month: only that year's files
+    are read."""
+    lake, _ = _fresh_lake(spark)
+    fact = MonthlyFact(lake)
+    model = model_of(spark, folder)
+    fact.rebuild(model["fact_orders"])
+    stored = {**{t: model[t] for t in model if t != "fact_orders"}, "fact_orders": fact.read()}
+    measures = ["total_revenue", "total_orders", "on_time_rate"]
+    found = evaluate(stored, measures, ["dim_date.year"], {"dim_date.year": 1996}, Role.seller(STATE))
+    return rounded(found, "on_time_rate")
+
+
+# Snapshots of the customers in the order in which they come in: a late one, and one that comes twice.
+SNAPSHOT_DAYS = [date(1994, 12, 31), date(1996, 12, 31), date(1998, 12, 31), date(1995, 12, 31), date(1996, 12, 31)]
+PERSON, TRAITS = "customer_unique_id", ["customer_city", "customer_state"]
+
+
+def _customer_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers known on each snapshot day, with the attributes they then had, as a history."""
+    lake, _ = _fresh_lake(spark)
+    s = silver_of(spark, folder)
+    bought = s["orders"].select("customer_id", F.to_date("order_purchase_timestamp").alias("day"))
+    dated = staged(s["customers"].join(bought, "customer_id"), "dated_customers")
+    for day in SNAPSHOT_DAYS:
+        known = latest_per_key(dated.where(F.col("day") <= F.lit(day)), [PERSON], [F.col("customer_id")], TRAITS)
+        found = apply_snapshot(lake, "dim_customers_history", known, day, PERSON, TRAITS)
+    return found
+
+
+@query
+def gd_dim_customers_history(spark, folder):
+    """Versions of the customers over four snapshots, one of them late and one taken in twice."""
+    found = _customer_history(spark, folder)
+    return found.select(
+        F.col("member_key").alias("customer_key"), PERSON, *TRAITS,
+        "effective_start_date", "effective_end_date", "is_current",
+    )
+
+
+@query
+def gd_fact_asof(spark, folder):
+    """The fact with its customers as they were on the day of the order; null before the first snapshot."""
+    model = model_of(spark, folder)
+    fact = model["fact_orders"].select(
+        "order_id", "order_item_key", F.col("customer_key").alias("member_key"), "seller_key", "product_key",
+        F.to_date(F.col("order_date_key").cast("string"), "yyyyMMdd").alias("order_date"), "price",
+    )
+    identity = ["order_item_key", "seller_key", "product_key"]
+    versions = _customer_history(spark, folder)
+    return as_of_join(fact, versions, "member_key", "order_date", [*TRAITS, "effective_start_date"], identity).drop(
+        "seller_key", "product_key"
+    )
+
+
+# quality
+
+
+def _expected_counts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Row counts of the provided tables that the bronze tables are made from."""
     standins = Standins(spark, folder)
     counted = {
         "orders": "orders",
@@ -431,8 +573,24 @@ def qc_bronze(spark, folder):
         "product_category_translation": "nation",
         "geolocation": "customer",
     }
-    expected = {t: standins.source(s).groupBy().count() for t, s in counted.items()}
-    return quality.bronze_suite({t: standins.bronze(t) for t in SPECS}, expected)
+    return {t: standins.source(s).groupBy().count() for t, s in counted.items()}
+
+
+@query
+def qc_bronze(spark, folder):
+    """Bronze checks; the expected counts are those of the provided source tables."""
+    bronze = bronze_of(spark, folder)
+    return quality.bronze_suite({t: bronze(t) for t in SPECS}, _expected_counts(spark, folder))
+
+
+@query
+def qc_from_footers(spark, folder):
+    """The bronze checks on stored tables, with counts and nulls from the files' footers."""
+    lake, _ = _fresh_lake(spark)
+    bronze = bronze_of(spark, folder)
+    for t in SPECS:
+        lake.overwrite(bronze(t), "bronze", t)
+    return suite_from_footers(spark, {t: lake.path("bronze", t) for t in SPECS}, _expected_counts(spark, folder))
 
 
 @query
@@ -552,6 +710,41 @@ def me_review_rolling_3m(spark, folder):
     return rounded(result, "review_score_rolling_3m")
 
 
+@query
+def me_review_rolling_daily(spark, folder):
+    """The trailing three months' score on every day, by state."""
+    result = evaluate(
+        model_of(spark, folder),
+        ["review_score_rolling_3m"],
+        by=["dim_date.full_date", "dim_customers.customer_state"],
+    )
+    return rounded(result, "review_score_rolling_3m")
+
+
+@query
+def me_margins(spark, folder):
+    """Totals by year, state, category, two pairs of them and over all, in one pass over the fact."""
+    year, state, category = "dim_date.year", "dim_customers.customer_state", "dim_products.product_category_english"
+    rates = ["on_time_rate", "avg_review_score", "repeat_customer_rate", "clv"]
+    result = margins(
+        model_of(spark, folder),
+        ["total_revenue", "total_orders", "total_customers", *rates],
+        [[year], [state], [category], [year, state], [state, category], []],
+    )
+    return rounded(result, *rates)
+
+
+@query
+def me_distinct_from_sketches(spark, folder):
+    """Orders and customers by year and state from stored sketches; the fact is not read again."""
+    lake, _ = _fresh_lake(spark)
+    model = model_of(spark, folder)
+    stored = store_sketches(lake, model)
+    return distinct_from_sketches(
+        stored, model["dim_date"], list(COUNTED), ["dim_date.year", "dim_customers.customer_state"]
+    )
+
+
 @query
 def me_revenue_yoy(spark, folder):
     result = evaluate(

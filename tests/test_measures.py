@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelscope.operators.periods import same_days_last_year, trailing_months
 from parcelscope.plans import analyses
 from parcelscope.plans.calendar import calendar
-from parcelscope.plans.measures import Context, Role, evaluate, implicit_sum
+from parcelscope.plans.measures import margins, Context, Role, evaluate, implicit_sum
 from parcelscope.schemas import GOLD
 
 
@@ -233,10 +233,71 @@ def test_rolling_without_a_date_axis_ends_on_the_last_calendar_day(star):
 
 
 def test_trailing_months_ends_of_month(spark):
-    days = calendar(spark, date(2016, 1, 1), date(2017, 12, 31), date(2018, 1, 1))
-    group = days.where("full_date <= DATE'2017-02-28'").withColumn("g", F.lit(1))
-    got = trailing_months(group, days, ["g"], 3).agg(F.min("date_key"), F.max("date_key"))
-    assert rows(got) == [(20161201, 20170228)]
+    """Windows of a group with something on every day, whatever the lengths of their months."""
+    days = calendar(spark, date(2015, 1, 1), date(2017, 12, 31), date(2018, 1, 1)).select(
+        F.col("full_date").alias("day"), F.lit(1).alias("n"), F.unix_date("full_date").alias("sum")
+    )
+    ends = days.select(F.col("day").alias("last"), F.date_format("day", "yyyy-MM-dd").alias("end"))
+    got = {r["end"]: r for r in trailing_months(days, [], "day", ["n", "sum"], ends, 3).collect()}
+    for end, first in [
+        ("2017-02-28", "2016-12-01"), ("2016-02-29", "2015-12-01"), ("2017-05-30", "2017-02-28"), ("2017-05-31", "2017-03-01"),
+        ("2016-05-28", "2016-02-29"), ("2017-04-30", "2017-02-01"), ("2015-01-20", "2015-01-01"), ("2015-03-31", "2015-01-01"),
+    ]:
+        a, b = date.fromisoformat(first), date.fromisoformat(end)
+        numbers = [(a - date(1970, 1, 1)).days + i for i in range((b - a).days + 1)]
+        assert (got[end]["n"], got[end]["sum"]) == (len(numbers), sum(numbers)), end
+
+
+def test_trailing_months_of_sparse_groups(spark):
+    given = [("a", "2016-01-31", 1), ("a", "2016-03-01", 2), ("a", "2017-01-01", None), ("b", "2016-03-01", 5), (None, "2016-03-02", 7)]
+    daily = spark.createDataFrame([(g, date.fromisoformat(d), n) for g, d, n in given], "g string, day date, n int")
+    last = ["2016-01-30", "2016-04-29", "2016-04-30", "2016-05-31", "2016-06-02", "2016-12-31", "2017-01-01", "2017-03-31", "2017-04-01"]
+    ends = spark.createDataFrame([(date.fromisoformat(d), d) for d in last], "last date, name string")
+    got = trailing_months(daily, ["g"], "day", ["n"], ends, 3)
+    assert rows(got, "g", "name", "n") == [
+        ("a", "2016-04-29", 3), ("a", "2016-04-30", 2), ("a", "2016-05-31", 2), ("a", "2017-01-01", 0),
+        ("a", "2017-03-31", 0), ("b", "2016-04-29", 5), ("b", "2016-04-30", 5), ("b", "2016-05-31", 5),
+        (None, "2016-04-29", 7), (None, "2016-04-30", 7), (None, "2016-05-31", 7),
+    ]
+
+
+def test_rolling_by_day_multiplies_no_rows(star, spark):
+    model = star(line("o1", day=20170115, score=2), line("o2", day=20170415, score=4), line("o3", day=20170416, score=None))
+    got = evaluate(model, ["review_score_rolling_3m"], by=["dim_date.full_date", "dim_customers.customer_state"])
+    scores = {str(r["full_date"]): r["review_score_rolling_3m"] for r in got.collect()}
+    assert scores["2017-01-15"] == 2.0 and scores["2017-04-14"] == 2.0 and scores["2017-04-15"] == 4.0
+    assert min(scores) == "2017-01-15" and max(scores) == "2017-07-15" and scores["2017-07-15"] is None
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # the joins are the state, and the calendar once for the days there are and once for the days asked for
+    assert plan.count("Join ") == 3 and plan.count("Generate explode(sequence(_day") == 1
+
+
+def test_margins_equal_single_contexts(star):
+    model = star(
+        line("o1", paid="10.00", score=5), line("o1", paid="10.00", product="p2", score=5),
+        line("o2", paid="4.00", day=20180101, late=1), line("o3", paid="1.00", customer="u2", day=20180102),
+        line("o4", paid=None, customer="u2", seller="s2", product="unknown"), line("o5", paid="2.00", customer="nobody"),
+    )
+    measures = ["total_revenue", "total_orders", "total_customers", "on_time_rate", "avg_review_score",
+                "repeat_customer_rate", "repeat_customer_rate_orders", "clv", "late_orders"]
+    year, state, category = "dim_date.year", "dim_customers.customer_state", "dim_products.product_category_english"
+    sets = [[year], [state], [category], [state, year], [category, state, year], []]
+    got = margins(model, measures, sets)
+    assert got.columns == ["year", "customer_state", "product_category_english", "margin", *measures]
+    for axes in sets:
+        names = [a.split(".")[1] for a in axes]
+        one = evaluate(model, measures, axes)
+        assert rows(got.where(F.col("margin") == ", ".join(names)), *names, *measures) == rows(one, *names, *measures)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("payment_value") and plan.count("Expand") == 1
+    filtered = margins(model, ["total_revenue"], [[year], []], {state: "SP"}, Role.seller("SP"))
+    assert rows(filtered.where("margin = ''"), "total_revenue") == rows(
+        evaluate(model, ["total_revenue"], where={state: "SP"}, role=Role.seller("SP"))
+    )
+    with pytest.raises(KeyError):
+        margins(model, ["yoy_revenue"], [[year]])
+    with pytest.raises(ValueError):
+        margins(model, ["total_orders"], [["fact_orders.order_id"]])
 
 
 def test_roles_filter_the_fact_one_way(star):

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelscope.plans.measures import evaluate
-from parcelscope.settings import PARTITION_BYTES, configure, scratch_dir, shuffle_partitions, staged
+from parcelscope.settings import PARTITION_BYTES, configure, scratch_dir, scratch_run, shuffle_partitions, staged
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -140,3 +140,22 @@ def test_a_hot_seller_is_split(spark, no_broadcast):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_a_run_removes_what_it_staged(spark, tmp_path):
+    kept = staged(spark.range(3), "kept")
+    with scratch_run(spark, "outer"):
+        outer = staged(spark.range(4), "a")
+        with scratch_run(spark, "inner"):
+            inner = scratch_dir(spark, "b")
+            staged(spark.range(5), "b")
+        assert outer.count() == 4 and not os.path.exists(os.path.dirname(inner))
+        gone = os.path.dirname(scratch_dir(spark, "c"))
+        assert os.path.exists(gone)
+    assert not os.path.exists(gone) and kept.count() == 3
+    with pytest.raises(RuntimeError):
+        with scratch_run(spark, "dies"):
+            gone = os.path.dirname(scratch_dir(spark, "d"))
+            staged(spark.range(1), "d")
+            raise RuntimeError("lost")
+    assert not os.path.exists(gone)

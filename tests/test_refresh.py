@@ -1,0 +1,188 @@
+"""Refreshing the fact by month, and reading it pruned."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import date
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from conftest import order, rows, ts
+
+from parcelscope.plans.calendar import calendar
+from parcelscope.plans.gold import Gold
+from parcelscope.plans.measures import Role, evaluate
+from parcelscope.plans.refresh import MONTH, MonthlyFact, _runs, changed_keys, changes_between, touched_orders
+from parcelscope.plans.silver import Silver
+from parcelscope.schemas import GOLD
+from parcelscope.sources.lake import Lake
+
+COLUMNS = GOLD["fact_orders"].fieldNames()
+
+
+@pytest.fixture
+def market(bronze):
+    """market(table=[rows], ...) is silver over a few default rows, some tables replaced."""
+
+    def build(**given):
+        tables = {
+            "orders": [
+                order("o1", "c1", "2017-01-05", "2017-01-09", "2017-01-20"), order("o2", "c2", "2017-01-30"),
+                order("o3", "c3", "2017-02-03"), order("o4", "c1", "2017-03-01"), order("o5", "c2", None),
+            ],
+            "order_items": [item(f"o{i}", n, f"s{i % 2}", f"p{n}") for i in range(1, 6) for n in (1, 2)],
+            "order_payments": [{"order_id": "o1", "payment_value": Decimal("5.00"), "payment_type": "boleto"}],
+            "order_reviews": [review("r1", "o3", "4", "2017-02-09")],
+            "customers": [{"customer_id": f"c{i}", "customer_unique_id": f"u{i % 2}", "customer_state": "sp"} for i in (1, 2, 3)],
+            "sellers": [{"seller_id": f"s{i}", "seller_state": "sp"} for i in (0, 1)],
+            "products": [{"product_id": f"p{i}"} for i in (1, 2)],
+            "product_category_translation": [],
+            "geolocation": [],
+        } | given
+        return Silver(lambda t: bronze(t, *tables[t]))
+
+    return build
+
+
+def item(order_id, n, seller, product):
+    return {"order_id": order_id, "order_item_id": n, "seller_id": seller, "product_id": product, "price": Decimal("2.00")}
+
+
+def review(review_id, order_id, score, answered):
+    return {"review_id": review_id, "order_id": order_id, "review_score": score, "review_answer_timestamp": ts(answered)}
+
+
+@pytest.fixture
+def fact(spark, tmp_path):
+    return MonthlyFact(Lake(spark, str(tmp_path / "lake"), prefix=f"f{uuid.uuid4().hex[:8]}_"))
+
+
+def gold_of(silver):
+    return Gold(silver, calendar(silver["orders"].sparkSession, date(2016, 1, 1), date(2017, 12, 31), date(2018, 1, 1)))
+
+
+def files(fact):
+    """Files of each month, with their times of change."""
+    root = Path(fact.lake.path("gold", fact.table))
+    return {
+        folder.name: sorted((f.name, f.stat().st_mtime_ns) for f in folder.glob("*.parquet"))
+        for folder in root.glob(f"{MONTH}=*")
+    }
+
+
+def refreshed(fact, before, after):
+    months = fact.refresh(after, gold_of(after), changes_between(before, after))
+    assert rows(fact.read(), *COLUMNS) == rows(gold_of(after)["fact_orders"], *COLUMNS)
+    return months
+
+
+def test_only_months_that_changed_are_written(fact, market):
+    before = market()
+    fact.rebuild(gold_of(before)["fact_orders"])
+    assert set(files(fact)) == {f"{MONTH}={m}" for m in (201701, 201702, 201703, 0)}
+    first = files(fact)
+    assert refreshed(fact, before, before) == []
+    assert files(fact) == first
+    after = market(order_reviews=[review("r1", "o3", "4", "2017-02-09"), review("r2", "o3", "1", "2017-02-10")])
+    assert refreshed(fact, before, after) == [201702]
+    second = files(fact)
+    assert {m for m in first if first[m] != second[m]} == {f"{MONTH}=201702"}
+
+
+def test_every_kind_of_change(fact, market):
+    start = market()
+    fact.rebuild(gold_of(start)["fact_orders"])
+    orders = [order("o1", "c1", "2017-01-05", "2017-01-09", "2017-01-20"), order("o3", "c3", "2017-05-03"), order("o6", "c2", "2017-06-01")]
+    steps = [
+        # an order moves to another month, one is new, three are gone: their months are emptied
+        (market(orders=orders), [0, 201701, 201702, 201703, 201705, 201706]),
+        (market(orders=orders, sellers=[{"seller_id": "s0"}]), [201701, 201705]),
+        (market(orders=orders, products=[{"product_id": "p1"}]), [201701, 201705]),
+        (market(orders=orders, customers=[{"customer_id": "c1", "customer_unique_id": "u9"}]), [201701, 201705, 201706]),
+        (market(orders=orders, order_payments=[]), [201701, 201705, 201706]),
+        (market(), [0, 201701, 201702, 201703, 201705]),
+    ]
+    before = start
+    for after, months in steps:
+        assert refreshed(fact, before, after) == months
+        before = after
+    before, after = market(), market(orders=[])
+    assert refreshed(fact, before, after) == [0, 201701, 201702, 201703]
+    assert fact.read().count() == 0
+
+
+def test_a_refresh_can_be_run_again(fact, market, monkeypatch):
+    before, after = market(), market(orders=[order("o1", "c1", "2017-08-05")])
+    fact.rebuild(gold_of(before)["fact_orders"])
+    monkeypatch.setattr(MonthlyFact, "_empty", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        refreshed(fact, before, after)
+    monkeypatch.undo()
+    assert 201701 in refreshed(fact, before, after)
+
+
+def test_changed_keys_compares_multisets(spark):
+    schema = "k string, v int"
+    before = spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), ("c", 1), (None, 1), ("e", None)], schema)
+    after = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), ("d", 1), ("e", None)], schema)
+    assert rows(changed_keys(before, after, "k")) == [("b",), ("c",), ("d",), (None,)]
+    plan = changed_keys(before, after, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_orders_of_changed_customers_and_sellers(market, spark):
+    silver = market()
+
+    def keys(name, *values):
+        return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+    assert rows(touched_orders(silver, {"customers": keys("customer_id", "c1")})) == [("o1",), ("o4",)]
+    found = touched_orders(silver, {"sellers": keys("seller_id", "s0"), "orders": keys("order_id", "o9", "o2")})
+    assert rows(found) == [("o2",), ("o4",), ("o9",)]
+
+
+def test_runs_of_months():
+    assert list(_runs([])) == []
+    assert list(_runs([201611, 201612, 201701, 201703])) == [(201611, 201702), (201703, 201704)]
+
+
+def test_filters_on_days_and_roles_prune(spark, fact, market):
+    silver = market()
+    gold = gold_of(silver)
+    fact.rebuild(gold["fact_orders"])
+    stored = {**{t: gold[t] for t in gold if t != "fact_orders"}, "fact_orders": fact.read()}
+    found = evaluate(stored, ["late_orders", "sum_price"], ["dim_date.month"], {"dim_date.year": 2017, "dim_date.month": [2, 3]})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan and "dynamicpruning" in plan
+    assert rows(found, "month", "sum_price") == [(2, Decimal("4.00")), (3, Decimal("4.00"))]
+    # two files of four months are read
+    scanned = found._jdf.queryExecution().executedPlan()
+    assert "sum_price" in scanned.toString()
+    whole = evaluate(gold, ["total_revenue", "total_orders"], ["dim_date.year"], {"dim_date.month": 1}, Role.seller("SP"))
+    pruned = evaluate(stored, ["total_revenue", "total_orders"], ["dim_date.year"], {"dim_date.month": 1}, Role.seller("SP"))
+    assert rows(whole) == rows(pruned) != []
+    assert "dynamicpruning" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_roles_put_a_bloom_filter_before_the_shuffle(spark, fact, market):
+    """Where a dimension is too big to broadcast, a role's rows filter the fact while it is read."""
+    silver = market()
+    gold = gold_of(silver)
+    fact.rebuild(gold["fact_orders"])
+    sellers = fact.lake.refresh(gold["dim_sellers"], "gold", "dim_sellers")
+    stored = {**{t: gold[t] for t in gold}, "fact_orders": fact.read(), "dim_sellers": sellers}
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = evaluate(stored, ["sum_price"], role=Role.seller("SP"))
+        assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(found) == [(Decimal("20.00"),)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
