@@ -16,7 +16,7 @@ from parcelscope.llm import byte_pairs, mixing, pseudonyms, quality, simhash
 from parcelscope.llm.shipping import ship
 from parcelscope.llm.suite import PSEUDONYM_KEY, tokenizer_path
 from parcelscope.llm.text import table
-from parcelscope.settings import staged
+from parcelscope.settings import remove, scratch_dir, scratch_run
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -65,7 +65,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Each stage's rows are written before the next one starts. What a stage staged on its way, and the
+    rows of the stage before it, are removed then, so disk holds two stages at most."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = scratch_dir(spark, f"pipeline-{name}")
+        with scratch_run(spark, name):
+            made = stage(spark, docs, sf_dir)
+            made.write.mode("overwrite").parquet(out)
+        docs = spark.read.schema(made.schema).parquet(out)
+        if before is not None:
+            remove(spark, before)
+        before = out
     return docs
