@@ -1,19 +1,22 @@
 """License scans: normalised text against licence templates by Dice coefficient over word bigrams.
 
-The units compared are the lines of a text, its paragraphs and the whole. A unit of n bigrams can
-reach a Dice coefficient t with a template of m only if n lies between m * t / (2 - t) and
+The units compared are the lines of a text, its paragraphs and the whole, and, for licences inside
+other text, stretches of words that begin and end with a bigram of the template. A unit of n bigrams
+can reach a Dice coefficient t with a template of m only if n lies between m * t / (2 - t) and
 m * (2 - t) / t, so most templates are pruned by size, and units that no size fits are not looked
-at. An index from bigram to templates gives the shared bigrams of the rest. Each document is
-scanned on its own: there is no shuffle.
+at. An index from bigram to templates gives the shared bigrams of the rest; stretches are looked for
+only where a template has as many bigrams close together as the least size needs, and over all
+their beginnings and ends within the bounds. Each document is scanned on its own: there is no shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
+from itertools import islice, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,8 +78,8 @@ purpose, commercial or non-commercial, and by any means."""
 
 
 def templates() -> list[tuple[str, str]]:
-    """(licence, template text): full texts, file headers and notices. Notices come in the usual
-    phrasings, and close versions have notices of their own, so that the nearest one wins."""
+    """(licence, template text): the texts of the short licences, the file headers of the long ones, and
+    notices. Notices come in the usual phrasings, and close versions have notices of their own, so that the nearest one wins."""
     found = [
         ("MIT", _MIT_GRANT), ("MIT", _MIT_WARRANTY), ("MIT", f"MIT License {_MIT_GRANT} {_MIT_WARRANTY}"),
         ("ISC", _ISC),
@@ -111,7 +114,7 @@ class Templates:
     def __init__(self, texts: list[tuple[str, str]], least: float):
         self.least = least
         self.names = [name for name, _ in texts]
-        counts = [Counter(bigrams(text)) for _, text in texts]
+        self.counts = counts = [Counter(bigrams(text)) for _, text in texts]
         self.sizes = [sum(c.values()) for c in counts]
         self.low = [m * least / (2 - least) for m in self.sizes]
         self.high = [m * (2 - least) / least for m in self.sizes]
@@ -155,11 +158,13 @@ class Templates:
                     found[name] = (dice, start, end)
 
         everything: list[str] = []
+        flat: list[str] = []
         block: list[str] = []
         at = block_start = lines = blocks = 0
         for line in [*text.split("\n"), ""]:
             words = _WORD.findall(line.lower())
             if words:
+                flat += words
                 look(words, at, at + len(line))
                 if not block:
                     block_start = at
@@ -175,8 +180,83 @@ class Templates:
             at += len(line) + 1
         if blocks > 1:
             look(everything, 0, len(text))
+        for name, dice, start, end in self.stretches(text, flat, found):
+            if dice > found.get(name, (0.0,))[0]:
+                found[name] = (dice, start, end)
         return found
 
+    def stretches(
+        self, text: str, words: list[str], known: dict[str, tuple[float, int, int]]
+    ) -> list[tuple[str, float, int, int]]:
+        """The best stretch of the text's words for each template, across lines and paragraphs: (name, Dice,
+        start, end), of overlapping ones the nearest. A licence that a line, a paragraph or the whole
+        gave in full is not looked for again."""
+        index = self.index
+        hits = [i for i, pair in enumerate(zip(words, words[1:])) if pair in index]
+        if len(hits) < self.smallest:
+            return []
+        places: dict[int, list[int]] = defaultdict(list)
+        for i in hits:
+            for t, _ in index[words[i], words[i + 1]]:
+                places[t].append(i)
+        found = []
+        for t, at in places.items():
+            needed = self.low[t] - 1e-9  # the least size is all shared
+            if len(at) >= needed and known.get(self.names[t], (0.0,))[0] < 1.0:
+                found += [(dice, -(b - a), a, b, self.names[t]) for dice, a, b in self._best(t, at, words)]
+        if not found:
+            return []
+        spans = [m.span() for m in _WORD.finditer(text)]
+        taken: list[tuple[int, int]] = []
+        out = []
+        for dice, _, a, b, name in sorted(found, key=lambda x: (-x[0], x[1], x[2:])):
+            if all(b < x or y < a for x, y in taken):
+                taken.append((a, b))
+                out.append((name, dice, spans[a][0], spans[b + 1][1]))
+        whole = [(start, end, dice, name) for name, (dice, start, end) in known.items()]
+        # what a unit gave already stands, unless the stretch in it is nearer to its own template
+        return [
+            (name, dice, start, end) for name, dice, start, end in out
+            if not any(s < end and start < e and (d > dice or d == dice and n != name) for s, e, d, n in whole)
+        ]
+
+    def _best(self, t: int, at: list[int], words: list[str]) -> list[tuple[float, int, int]]:
+        """Per run of close bigrams of template ``t``, at places ``at``, the best (Dice, first, last) stretch."""
+        own, size, longest = self.counts[t], self.sizes[t], int(self.high[t] + 1e-9)
+        needed = math.ceil(self.low[t] - 1e-9)
+        best: list[tuple[float, int, int]] = []
+        # bigrams in reach of the beginning, and how many of them the template has, too
+        inside: dict[tuple[str, str], int] = defaultdict(int)
+        until = in_both = 0
+        for k, begin in enumerate(at):
+            while until < len(at) and at[until] - begin < longest:
+                pair = (words[at[until]], words[at[until] + 1])
+                inside[pair] += 1
+                in_both += inside[pair] <= own[pair]
+                until += 1
+            enough, pair = in_both >= needed, (words[begin], words[begin + 1])
+            in_both -= inside[pair] <= own[pair]
+            inside[pair] -= 1
+            if not enough:
+                continue
+            left, shared, top = dict(own), 0, None
+            for end in islice(at, k, None):
+                if end - begin >= longest:
+                    break
+                pair = (words[end], words[end + 1])
+                if left[pair]:
+                    left[pair] -= 1
+                    shared += 1
+                dice = 2 * shared / (end - begin + 1 + size)
+                if dice >= self.least and (top is None or dice > top[0]):
+                    top = (dice, begin, end)
+            if top is not None:
+                if best and best[-1][2] >= top[1]:  # overlaps the one before
+                    best[-1] = max(best[-1], top, key=lambda x: (x[0], x[1] - x[2], -x[1]))
+                else:
+                    best.append(top)
+        return best
+
 
 @lru_cache(maxsize=4)
 def prepared(texts: tuple[tuple[str, str], ...], least: float) -> Templates:

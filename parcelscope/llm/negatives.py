@@ -39,7 +39,7 @@ from parcelscope.llm.ordering import numbered
 from parcelscope.settings import staged
 
 # Rows of a block, of a shard (read together), and anchors of a group.
-BLOCK, SHARD, GROUP = 512, 8192, 2048
+BLOCK, SHARD, GROUP = 512, 4096, 2048
 # Zone maps that a task looks through at once.
 ZONES = 4096
 # The curve: leading directions, bits in each, and the rows they are fitted on.

@@ -70,15 +70,16 @@ FROM rows GROUP BY conv_id
 
 
 
-def _quartiles(keys: str) -> str:
-    """Quartiles of the merged buckets per ``keys`` and measure."""
-    return f"""
-  SELECT {keys} measure, max(total) >= 100 AS enough, min(bucket) FILTER (upto * 4 >= total) AS q1,
-         min(bucket) FILTER (upto * 4 >= total * 3) AS q3
-  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} measure ORDER BY bucket) AS upto,
-               sum(n) OVER (PARTITION BY {keys} measure) AS total
-        FROM (SELECT {keys} measure, bucket, count(*) AS n FROM tall GROUP BY ALL))
-  GROUP BY ALL"""
+_TAIL = (75, 90, 95, 98, 99)
+
+
+def _reach(distances: str) -> str:
+    """Twice the distance of the outermost quantile in reach of those before it, and the floor."""
+    return f"list_reduce({distances}[2:], lambda r, d: CASE WHEN d <= r THEN 2 * d + floor ELSE r END, 2 * {distances}[1] + floor)"
+
+
+def _at(percent: int) -> str:
+    return f"min(bucket) FILTER (upto * 100 >= total * {percent})"
 
 
 _QUALITY = rf"""
@@ -103,29 +104,43 @@ base AS (
   FROM docs d LEFT JOIN lines l ON d.r = l.r LEFT JOIN covered c ON d.r = c.r),
 measured AS (
   SELECT r, lang, source, unnest([
-    {{'m': 'symbols', 'v': n_symbols * 1000 // n_words, 'slack': 100, 'low': false}},
-    {{'m': 'dup_lines', 'v': n_dup_lines * 1000 // n_lines, 'slack': 400, 'low': false}},
-    {{'m': 'repeats', 'v': n_repeat_words * 1000 // n_words, 'slack': 290, 'low': false}},
-    {{'m': 'word_length', 'v': word_chars * 100 // n_words, 'slack': 130, 'low': true}}]) AS x
+    {{'m': 'symbols', 'v': n_symbols * 1000 // n_words, 'floor': 30, 'low': false}},
+    {{'m': 'dup_lines', 'v': n_dup_lines * 1000 // n_lines, 'floor': 150, 'low': false}},
+    {{'m': 'repeats', 'v': n_repeat_words * 1000 // n_words, 'floor': 120, 'low': false}},
+    {{'m': 'word_length', 'v': word_chars * 100 // n_words, 'floor': 60, 'low': true}}]) AS x
   FROM base WHERE NOT base_failed),
 tall AS (
-  SELECT r, lang, source, x.m AS measure, x.v AS v, x.slack AS slack, x.low AS low,
+  SELECT r, lang, source, x.m AS measure, x.v AS v, x.floor AS floor, x.low AS low,
          (x.v >> greatest(length(bin(x.v)) - 6, 0)::BIGINT) << greatest(length(bin(x.v)) - 6, 0)::BIGINT AS bucket
   FROM measured),
-own AS ({_quartiles('lang, source,')}),
-language AS ({_quartiles('lang,')}),
-corpus AS ({_quartiles('')}),
-used AS (
-  SELECT t.r, t.v, t.slack, t.low,
-         CASE WHEN o.enough THEN o.q1 WHEN l.enough THEN l.q1 ELSE c.q1 END AS q1,
-         CASE WHEN o.enough THEN o.q3 WHEN l.enough THEN l.q3 ELSE c.q3 END AS q3
-  FROM tall t
-  JOIN own o ON t.lang IS NOT DISTINCT FROM o.lang AND t.source IS NOT DISTINCT FROM o.source AND t.measure = o.measure
-  JOIN language l ON t.lang IS NOT DISTINCT FROM l.lang AND t.measure = l.measure
-  JOIN corpus c ON t.measure = c.measure),
+c AS (SELECT measure, floor, bucket, count(*)::HUGEINT AS c FROM tall GROUP BY ALL),
+l AS (SELECT lang, measure, bucket, count(*)::HUGEINT AS l FROM tall GROUP BY ALL),
+g AS (SELECT lang, source, measure, bucket, count(*)::HUGEINT AS g FROM tall GROUP BY ALL),
+weighed AS (
+  SELECT k.lang, k.source, k.measure, floor, c.bucket,
+         coalesce(g, 0) * (l_all + 100) * c_all + 100 * (coalesce(l, 0) * c_all + 100 * c) AS weight
+  FROM (SELECT DISTINCT lang, source, measure FROM g) k
+  JOIN c ON c.measure = k.measure
+  JOIN (SELECT measure, sum(c)::HUGEINT AS c_all FROM c GROUP BY ALL) ca ON ca.measure = k.measure
+  JOIN (SELECT lang, measure, sum(l)::HUGEINT AS l_all FROM l GROUP BY ALL) la
+    ON la.measure = k.measure AND la.lang IS NOT DISTINCT FROM k.lang
+  LEFT JOIN l ON l.measure = k.measure AND l.lang IS NOT DISTINCT FROM k.lang AND l.bucket = c.bucket
+  LEFT JOIN g ON g.measure = k.measure AND g.lang IS NOT DISTINCT FROM k.lang AND g.source IS NOT DISTINCT FROM k.source
+             AND g.bucket = c.bucket),
+tails AS (
+  SELECT lang, source, measure, floor, {_at(50)} AS mid, [{', '.join(_at(p) for p in _TAIL)}] AS upper,
+         [{', '.join(_at(100 - p) for p in _TAIL)}] AS lower
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto,
+               sum(weight) OVER (PARTITION BY lang, source, measure) AS total FROM weighed)
+  GROUP BY ALL),
+away AS (
+  SELECT *, list_transform(upper, lambda q: q - mid) AS above, list_transform(lower, lambda q: mid - q) AS below FROM tails),
+fences AS (SELECT lang, source, measure, mid + {_reach('above')} AS high, mid - {_reach('below')} AS lowest FROM away),
 inside AS (
-  SELECT r, bool_and(v <= q3 + greatest((q3 - q1) * 3, slack) AND (NOT low OR v >= q1 - greatest((q3 - q1) * 3, slack))) AS kept
-  FROM used GROUP BY r)
+  SELECT r, bool_and(v <= high AND (NOT low OR v >= lowest)) AS kept
+  FROM tall t JOIN fences f
+    ON t.lang IS NOT DISTINCT FROM f.lang AND t.source IS NOT DISTINCT FROM f.source AND t.measure = f.measure
+  GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(kept, false) AS kept
 FROM base b LEFT JOIN inside i ON b.r = i.r
 """

@@ -1,9 +1,12 @@
 """Format-preserving pseudonyms for private values, in DataFrame expressions only.
 
-Values are found by pattern, validated (Luhn sum, octets, calendar, social security ranges), and
+Values are found by pattern, validated (Luhn sum, remainder of an IBAN, octets, calendar, social
+security ranges), and
 replaced by a keyed permutation of the value space of their format: a card number becomes another
 card number with a right check digit, a date another date. A permutation keeps equal values equal
-and different values different, in every document.
+and different values different, in every document. Of cards, IBANs and phone numbers the digits are
+permuted without what stands between them, so that a number written in two ways stays linked, a
+North American one also with and without +1.
 
 The permutation is an alternating Feistel network over a value's units (digits, letters, octets,
 day parts): in each round the units of one half are shifted by amounts drawn from the other half,
@@ -24,10 +27,19 @@ HEX = "0123456789abcdef"
 FIRST_DAY = "1800-01-01"
 DAY_UNITS = (189, 773)
 SECRET_NAME = r"(?i:token|secret|password|passwd|api[_-]?key)"
+# Countries with IBANs.
+IBAN_COUNTRIES = (
+    "AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU IE IL IS IT JO KW KZ LB LC "
+    "LI LT LU LV MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SE SI SK SM ST SV TL TN TR UA VA VG XK"
+).split()
+# Keys that their first characters give away, which stay.
+KEY_FRONT = r"(?:AKIA(?=[A-Z0-9]{16}\b)|gh[pousr]_(?=[A-Za-z0-9]{36}))"
 
 # Kind: pattern. The first that matches a found value and validates it decides.
 PATTERNS = {
     "secret": rf"\b{SECRET_NAME}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[A-Za-z0-9_\-]{{16,}}",
+    "key": rf"(?<![A-Za-z0-9_]){KEY_FRONT}[A-Za-z0-9]{{16,}}",
+    "iban": rf"(?<![A-Za-z0-9])(?:{'|'.join(IBAN_COUNTRIES)})\d{{2}}(?:(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?|[A-Z0-9]{{11,30}})(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}",
     "phone": r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
     r"|\+(?=(?:[ .()-]{0,2}\d){9})\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:(?:[ -]?\d{1,4}){2,5}|(?:\.\d{1,4}){2,5})(?!\d|\.\d))",
@@ -98,6 +110,19 @@ def luhn_sum(digits: Column, doubled: int) -> Column:
     )
 
 
+def remainder(iban: Column) -> Column:
+    """An IBAN by 97, with its first four characters last and letters as 10 to 35; 1 if it is valid."""
+    bare = F.regexp_replace(iban, " ", "")
+    turned = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))
+    return F.aggregate(
+        F.split(turned, ""),
+        F.lit(0),
+        lambda left, c: F.pmod(
+            F.when(c.rlike("[A-Z]"), left * 100 + F.ascii(c) - 55).otherwise(left * 10 + c.try_cast("int")), F.lit(97)
+        ),
+    )
+
+
 def _longs(*numbers) -> Column:
     return F.array(*[(F.lit(n) if isinstance(n, int) else n).cast("long") for n in numbers])
 
@@ -119,6 +144,8 @@ def classified(value: Column) -> Column:
         ssn = r"^(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}$"
         kind = (
             F.when(fits("secret"), "secret")
+            .when(fits("key"), "key")
+            .when(fits("iban") & (F.length(value) <= 42) & (remainder(value) == 1), "iban")
             .when(fits("email"), "email")
             .when(fits("ip") & F.forall(octets, lambda o: o <= 255), "ip")
             .when(value.rlike(ssn), "ssn")
@@ -137,20 +164,28 @@ def _laid_out(v: Column) -> Column:
     for values that are numbers), with whether they are all lower-case hex digits."""
     was, kind = v["was"], v["kind"]
     cut = lambda first, n: F.substring(was, first, n)
-    name = F.length(F.regexp_extract(was, rf"^({SECRET_NAME}[\"']?\s*[=:]\s*[\"']?)", 1))
-    country = F.length(F.regexp_extract(was, r"^(\+\d{1,3}[ .-]?)", 1))
-    before = F.when(kind == "secret", name).when(kind == "phone", country).otherwise(0)
+    name = F.length(F.regexp_extract(was, rf"^({SECRET_NAME}[\"']?\s*[=:]\s*[\"']?|{KEY_FRONT})", 1))
+    before = F.when(kind.isin("secret", "key"), name).when(kind == "iban", 4).otherwise(0)
     length = (
         F.when(kind == "email", F.instr(was, "@") - 1).when(kind == "card", F.length(was) - 1).otherwise(F.length(was) - before)
     )
 
     def parts(n: Column) -> Column:
         body = cut(n["before"] + 1, n["length"])
-        spelt = kind.isin("secret", "email", "phone", "card")
+        spelt = kind.isin("secret", "key", "iban", "email", "phone", "card")
+        # of numbers the digits alone are permuted, so that every way to write one gets the same digits
+        bare = F.when(kind.isin("phone", "card", "iban"), F.regexp_replace(body, "[^0-9A-Z]", "")).otherwise(body)
+        kept = (
+            F.when(kind == "card", 1)
+            .when((kind == "phone") & body.startswith("+1") & (F.length(bare) == 11), 1)
+            .when((kind == "phone") & body.startswith("+"), 2)
+            .otherwise(0)
+        )
         return F.struct(
             kind.alias("kind"), was.alias("was"), v["form"].alias("form"), v["day"].alias("day"),
-            cut(F.lit(1), n["before"]).alias("front"),
-            F.when(spelt, F.split(body, "")).alias("chars"),
+            cut(F.lit(1), n["before"]).alias("front"), body.alias("body"),
+            F.substring(bare, F.lit(1), kept).alias("kept"),
+            F.when(spelt, F.split(F.substring(bare, kept + 1, F.length(bare)), "")).alias("chars"),
             F.when(kind == "email", cut(F.instr(was, "@"), F.length(was))).otherwise("").alias("back"),
             body.rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$").alias("hex"),
         )
@@ -159,8 +194,8 @@ def _laid_out(v: Column) -> Column:
 
 
 def _units(p: Column) -> tuple[Column, Column]:
-    """Units and sizes of a laid-out value. Characters that do not change have size one; of a card
-    the first digit stays. Social security areas are 001 to 899 without 666."""
+    """Units and sizes of a laid-out value. Characters that do not change have size one. Social security
+    areas are 001 to 899 without 666."""
     kind, low = p["kind"], DAY_UNITS[0]
     octets = F.split(p["was"], r"\.").cast("array<long>")
     part = F.split(p["was"], "-").cast("array<long>")
@@ -174,9 +209,8 @@ def _units(p: Column) -> tuple[Column, Column]:
         .otherwise(0)
         .cast("long")
     )
-    size = lambda c, i: (
-        F.when((kind == "card") & (i == 0), 1)
-        .when(p["hex"], 16)
+    size = lambda c: (
+        F.when(p["hex"], 16)
         .when(c.rlike("[0-9]"), 10)
         .when(c.rlike("[A-Za-z]"), 26)
         .otherwise(1)
@@ -210,11 +244,26 @@ def _written(p: Column, units: Column) -> Column:
     unit = lambda i: F.get(units, F.lit(i))
     area = unit(0) + 1
     day = F.date_add(F.lit(FIRST_DAY).cast("date"), (unit(0) + unit(1) * DAY_UNITS[0]).cast("int"))
+    def numbers_laid_out(t: Column) -> Column:
+        """Digits and capitals of a number in the places where those of the value were."""
+        place = lambda i: F.length(F.regexp_replace(F.substring(p["body"], F.lit(1), i + 1), "[^0-9A-Z]", ""))
+        return F.array_join(
+            F.transform(F.split(p["body"], ""), lambda c, i: F.when(c.rlike("[0-9A-Z]"), F.substring(t, place(i), F.lit(1))).otherwise(c)), ""
+        )
+
+    def check_digits(t: Column) -> Column:
+        """An IBAN's country, and the check digits that its new number needs."""
+        country = F.substring(p["was"], 1, 2)
+        return F.concat(country, F.lpad((F.lit(98) - remainder(F.concat(country, F.lit("00"), t))).cast("string"), 2, "0"))
+
     spelt = let(
-        F.array_join(F.zip_with(p["chars"], units, letter), ""),
+        F.concat(p["kept"], F.array_join(F.zip_with(p["chars"], units, letter), "")),
         lambda t: F.when(
-            kind == "card", F.concat(t, F.pmod(-luhn_sum(digits_of(t), 0), F.lit(10)).cast("string"))
-        ).otherwise(F.concat(p["front"], t, p["back"])),
+            kind == "card", F.concat(numbers_laid_out(t), F.pmod(-luhn_sum(digits_of(t), 0), F.lit(10)).cast("string"))
+        )
+        .when(kind == "iban", F.concat(check_digits(t), numbers_laid_out(t)))
+        .when(kind == "phone", numbers_laid_out(t))
+        .otherwise(F.concat(p["front"], t, p["back"])),
     )
     return (
         F.when(kind == "ip", F.array_join(units.cast("array<string>"), "."))

@@ -5,9 +5,16 @@ quantile is off by at most one part in 32. Sketches are rows (language, source,
 count): they merge by adding counts, partial aggregation sends a few hundred rows per task however
 hot a group is, and the sum does not depend on the order of tasks, so reruns agree.
 
-A document is rejected by the base rules, or if a measure lies outside its group's fences, which
-stand three quartile ranges away from the quartiles and never closer than a fixed slack. Groups
-with few documents use the sketch of their language, and that failing of the whole corpus.
+A document is rejected by the base rules, or if a measure lies outside its group's fences. A fence
+comes from the tail of the group: starting at the outer quartile, each of the tail's quantiles pushes
+the fence to twice its own distance from the median plus a small floor, as long as it lies within the
+fence that the quantiles before it give. A tail that thins out is followed to its end; a separate lot
+of odd documents, which makes the next quantile jump, is left outside, whether it is one in a hundred
+of the group's documents or one in ten.
+
+Small groups lean on their language and small languages on the corpus: to a group's counts come as
+many as ``PRIOR`` documents spread like its language's, and to those of the language as many spread
+like the corpus's. There is no size at which a group changes its rule.
 """
 
 from __future__ import annotations
@@ -25,18 +32,19 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of words
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
-# A group's own sketch is used from this many documents on.
-LEAST_DOCUMENTS = 100
-REACH = 3  # quartile ranges beyond the quartiles
+# The weight of what a group's sketch leans on, in documents.
+PRIOR = 100
+REACH = 2  # times the distance of a tail's quantile from the median
+TAIL = (75, 90, 95, 98, 99)  # percent
 PRECISION = 6  # significant bits of a bucket
 
-# Measure: (expression over the base columns, slack, lower fence too). The measures are parts in a
+# Measure: (expression over the base columns, floor, lower fence too). The measures are parts in a
 # thousand of words or lines, and hundredths of a character.
 MEASURES = {
-    "symbols": ("n_symbols * 1000 DIV nullif(n_words, 0)", 100, False),
-    "dup_lines": ("n_dup_lines * 1000 DIV nullif(n_lines, 0)", 400, False),
-    "repeats": ("n_repeat_words * 1000 DIV nullif(n_words, 0)", 290, False),
-    "word_length": ("word_chars * 100 DIV nullif(n_words, 0)", 130, True),
+    "symbols": ("n_symbols * 1000 DIV nullif(n_words, 0)", 30, False),
+    "dup_lines": ("n_dup_lines * 1000 DIV nullif(n_lines, 0)", 150, False),
+    "repeats": ("n_repeat_words * 1000 DIV nullif(n_words, 0)", 120, False),
+    "word_length": ("word_chars * 100 DIV nullif(n_words, 0)", 60, True),
 }
 BASE = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
@@ -129,42 +137,69 @@ def sketches(rows: DataFrame, language: str = "lang", source: str = "source") ->
     return tall.groupBy("lang", "source", "v.measure", "v.bucket").agg(F.count("*").alias("n"))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
-    """(lang, source, <measure>_low, <measure>_high) of each group, from the narrowest level of
-    group, language and corpus that has ``LEAST_DOCUMENTS`` documents.
+def blended(sketch: DataFrame) -> DataFrame:
+    """(lang, source, measure, bucket, weight) of each group over all buckets of the corpus.
 
-    All levels come from the one sketch by adding counts. A window runs over the buckets of one
-    measure of one group, of which there are a few hundred however many documents there are.
+    The weight of a bucket is ``n + PRIOR * (share in the language, blended likewise with the corpus)``,
+    multiplied out to whole numbers so that sums do not depend on their order. All levels are sums of
+    the one sketch. Per group and measure there are as many rows as the corpus has buckets, a few
+    hundred however many documents there are.
     """
+
+    def level(keys: list[str], name: str) -> DataFrame:
+        merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").cast("decimal(38,0)").alias(name))
+        return merged.withColumn(f"{name}_all", F.sum(name).over(Window.partitionBy(*keys, "measure")))
+
+    def joined(left: DataFrame, right: DataFrame, keys: list[str], names: list[str], how: str) -> DataFrame:
+        found = left.join(right, reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys]), how)
+        return found.select(*[left[c] for c in left.columns], *[right[c] for c in names])
+
+    corpus, language, own = level([], "c"), level(["lang"], "l"), level(["lang", "source"], "g")
+    languages = language.select("lang", "measure", "l_all").distinct()
+    grid = joined(languages, corpus, ["measure"], ["bucket", "c", "c_all"], "inner")
+    grid = joined(grid, language, ["lang", "measure", "bucket"], ["l"], "left")
+    groups = own.select("lang", "source", "measure").distinct()
+    grid = joined(groups, grid, ["lang", "measure"], ["bucket", "c", "c_all", "l", "l_all"], "inner")
+    grid = joined(grid, own, ["lang", "source", "measure", "bucket"], ["g"], "left")
+    none, prior = F.lit(0).cast("decimal(38,0)"), F.lit(PRIOR).cast("decimal(38,0)")
+    of = lambda name: F.coalesce(F.col(name), none)
+    lean = of("l") * of("c_all") + prior * of("c")
+    weight = of("g") * (of("l_all") + prior) * of("c_all") + prior * lean
+    return grid.select("lang", "source", "measure", "bucket", weight.cast("decimal(38,0)").alias("weight"))
+
+
+def fences(sketch: DataFrame) -> DataFrame:
+    """(lang, source, <measure>_low, <measure>_high) of each group, from the tails of its blended sketch."""
     group = ["lang", "source"]
+    of_measure = Window.partitionBy(*group, "measure")
+    ranked = blended(sketch).withColumns(
+        {"upto": F.sum("weight").over(of_measure.orderBy("bucket")), "total": F.sum("weight").over(of_measure)}
+    )
 
-    def level(keys: list[str], number: int) -> DataFrame:
-        merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
-        up_to = Window.partitionBy(*keys, "measure").orderBy("bucket")
-        ranked = merged.withColumn("upto", F.sum("n").over(up_to)).withColumn(
-            "total", F.sum("n").over(Window.partitionBy(*keys, "measure"))
-        )
-        at = lambda part: F.min(F.when(F.col("upto") * 4 >= F.col("total") * part, F.col("bucket")))
-        return ranked.groupBy(*keys, "measure").agg(
-            F.struct(
-                (F.max("total") >= LEAST_DOCUMENTS).alias("enough"), at(1).alias("q1"), at(3).alias("q3")
-            ).alias(f"l{number}")
+    def at(percent: int) -> Column:
+        return F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent, F.col("bucket")))
+
+    found = ranked.groupBy(*group, "measure").agg(
+        at(50).alias("mid"),
+        F.array(*[at(p) for p in TAIL]).alias("upper"), F.array(*[at(100 - p) for p in TAIL]).alias("lower"),
+    )
+    floors = F.create_map(*[F.lit(x) for name, (_, floor, _) in MEASURES.items() for x in (name, floor)])
+    floor = floors[F.col("measure")].cast("long")
+
+    def reach(away: Column) -> Column:
+        """How far a fence stands from the median, from the distances of the tail's quantiles."""
+        pushed = lambda d: d * REACH + floor
+        return F.aggregate(
+            F.slice(away, 2, len(TAIL)), pushed(F.get(away, F.lit(0))), lambda r, d: F.when(d <= r, pushed(d)).otherwise(r)
         )
 
-    groups = sketch.select(*group, "measure").distinct()
-    own, language, corpus = level(group, 0), level(["lang"], 1), level([], 2)
-    same = lambda a, b, keys: reduce(and_, [a[k].eqNullSafe(b[k]) for k in [*keys, "measure"]])
-    found = groups.join(own, same(groups, own, group)).select(groups["*"], "l0")
-    found = found.join(language, same(found, language, ["lang"])).select(found["*"], "l1")
-    found = found.join(corpus, "measure")
-    used = F.when(F.col("l0.enough"), F.col("l0")).when(F.col("l1.enough"), F.col("l1")).otherwise(F.col("l2"))
-    found = found.select(*group, "measure", used.alias("u"))
-    slack = F.create_map(*[F.lit(x) for name, (_, slack, _) in MEASURES.items() for x in (name, slack)])
-    reach = F.greatest((F.col("u.q3") - F.col("u.q1")) * REACH, slack[F.col("measure")].cast("long"))
-    of = lambda name, c: F.max(F.when(F.col("measure") == name, c))
+    high = F.col("mid") + reach(F.transform("upper", lambda q: q - F.col("mid")))
+    low = F.col("mid") - reach(F.transform("lower", lambda q: F.col("mid") - q))
+    found = found.select(*group, "measure", high.alias("high"), low.alias("low"))
+    of = lambda name, c: F.max(F.when(F.col("measure") == name, F.col(c)))
     return found.groupBy(*group).agg(
-        *[of(name, F.col("u.q3") + reach).alias(f"{name}_high") for name in MEASURES],
-        *[of(name, F.col("u.q1") - reach).alias(f"{name}_low") for name, (_, _, low) in MEASURES.items() if low],
+        *[of(name, "high").alias(f"{name}_high") for name in MEASURES],
+        *[of(name, "low").alias(f"{name}_low") for name, (_, _, below) in MEASURES.items() if below],
     )
 
 

@@ -32,6 +32,9 @@ from parcelscope.settings import staged
 # Hosts whose wrappers a task folds at a time, and tasks that share a host's wrappers in round one.
 HOSTS = 2_000
 SHARES = 64
+# Blocks inside each other that are kept apart. Below that depth a block only starts a new line, in the
+# deepest block kept; articles and parts beside the article are kept apart for some levels more.
+DEPTH, MORE = 120, 40
 
 # Kinds of elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +44,7 @@ _BLOCKS = set(
     "main header footer nav aside form fieldset figure figcaption blockquote pre address details summary menu dialog "
     "center button label legend hgroup search".split()
 )
+_IN_LINE = {"button", "label"}
 _PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption".split())
 _CLOSES_P = _BLOCKS - {"button", "label", "legend", "summary", "td", "th", "tr", "li", "dt", "dd", "caption"} | {"hr"}
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -57,14 +61,20 @@ _MARKS = set(
 )
 # Inside an article a class marks a block only if the whole of it does, with these words at most beside.
 _FILL = set("slot box unit area section list block container wrapper wrap inner item items bar links link buttons button form count".split())
+_PLACES = set("in inline article content text body page top middle bottom left right side mid".split())
 # Words that also name content: such a block of an article is left out only if the host repeats it.
 _SOFT = set("notice notices alert banner promotion menu overlay search feedback discussion copyright disclaimer".split())
 # Ids that mark a part of an article; others may be slugs of its headings.
 _PARTS = set("comments commentlist disqus respond replies sidebar navbar masthead topbar breadcrumb breadcrumbs pagination pager".split())
+# Inside an article, a class token or id that begins or ends with one of these names reader comments,
+# and a class token that does so with one of those an advert (``ad-hoc`` is neither).
+_COMMENTS = set("comment comments".split())
+_ADVERTS = set("ad ads advert adverts advertisement advertisements sponsored sponsor".split())
 # First words of class tokens that state what a box has, not what it is.
 _STATES = set("has with without no is not js".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|</?[A-Za-z][^>]*(?:>|\Z)", re.S)
+_LEAD = re.compile("h[1-6]|p|hgroup")
 _NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"""\s(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?(?=[\s/>])""", re.I)
 
@@ -73,10 +83,23 @@ class Block:
     """A block of a page: name, kind (name, id and classes without digits), children that are blocks
     or texts, whether it is beside the article, and whether it is so only if it is the template's."""
 
-    __slots__ = ("name", "kind", "children", "aside", "article", "soft")
+    __slots__ = ("name", "kind", "children", "aside", "article", "soft", "depth", "shared")
 
     def __init__(self, name: str, kind: str, aside: bool = False, article: bool = False, soft: bool = False):
         self.name, self.kind, self.children, self.aside, self.article, self.soft = name, kind, [], aside, article, soft
+        self.depth, self.shared = 0, False
+
+    def open_in(self, around: Block) -> None:
+        """Become a child, or below the greatest depth a line of the block around."""
+        self.depth = around.depth + 1
+        special = self.aside or self.article
+        if self.depth <= DEPTH or special and self.depth <= DEPTH + MORE:
+            around.children.append(self)
+            return
+        self.depth = around.depth
+        if not self.aside:  # else what it holds goes nowhere
+            self.shared, self.children = True, around.children
+            self.children.append(Block("hr", "hr"))
 
 
 class Text:
@@ -107,12 +130,22 @@ def _side_marks(name: str, attributes: dict[str, str], inside: bool) -> set[str]
     if "class" not in attributes and "id" not in attributes:
         return set()
     classes, ids = _token_words(attributes.get("class", "")), _token_words(attributes.get("id", ""))
+    classes = [t for t in classes if t[0] not in _STATES]
     if not inside:
         tokens = [t for t in classes + ids if t[0] not in _STATES]
         return {w for t in tokens for w in t if w in _MARKS or w == "header"}
     whole = [t for t in classes if all(w in _MARKS or w in _FILL for w in t)]
-    whole += [t for t in ids if len(t) == 1 and t[0] in _PARTS and not re.fullmatch("h[1-6]", name)]
-    return {w for t in whole for w in t if w in _MARKS}
+    found = {w for t in whole for w in t if w in _MARKS}
+    if not re.fullmatch("h[1-6]|p|li", name):
+        found |= {t[0] for t in ids if len(t) == 1 and t[0] in _PARTS}
+        found |= {w for t in classes + ids for w in (t[0], t[-1]) if w in _COMMENTS}
+    named = [t for t in classes if t[1:2] != ["hoc"]]
+    return found | {w for t in named for w in (t[0], t[-1]) if w in _ADVERTS} | _in_between(named)
+
+
+def _in_between(classes: list[list[str]]) -> set[str]:
+    """Adverts named in the middle, of tokens that otherwise only say what kind of box it is."""
+    return {w for t in classes for w in t if w in _ADVERTS and all(x in _ADVERTS or x in _FILL or x in _PLACES for x in t)}
 
 
 def read(page: str) -> Block:
@@ -120,11 +153,26 @@ def read(page: str) -> Block:
     the article. Missing end tags are supplied, stray ones ignored."""
     root = Block("html", "html")
     stack, at, low = [root], 0, None
+    # open blocks by name, and open articles, so that no tag needs a look through a deep stack
+    names: dict[str, int] = {}
+    articles = 0
 
     def add(text: str) -> None:
         if text:
             stack[-1].children.append(Text(text))
 
+    def shut(n: int) -> None:
+        nonlocal articles
+        for block in stack[n:]:
+            names[block.name] -= 1
+            articles -= block.article
+        if stack[n].shared:  # what follows is a new line
+            stack[n].children.append(Block("hr", "hr"))
+        del stack[n:]
+
+    def any_open(of: set[str]) -> bool:
+        return any(names.get(name) for name in of)
+
     while at < len(page):
         tag = _TOKEN.search(page, at)
         if tag is None:
@@ -139,9 +187,9 @@ def read(page: str) -> Block:
             continue
         name = found.group(1).lower()
         if raw[1] == "/":
-            for n in range(len(stack) - 1, 0, -1):
+            for n in range(len(stack) - 1, 0, -1) if names.get(name) else ():
                 if stack[n].name == name:
-                    del stack[n:]
+                    shut(n)
                     break
             continue
         if name in _VOID:
@@ -162,7 +210,7 @@ def read(page: str) -> Block:
         marks = _marked(attributes)
         if name in ("html", "body"):
             continue
-        inside = any(b.article for b in stack)
+        inside = articles > 0
         side = _side_marks(name, attributes, inside)
         soft = inside and bool(side) and side <= _SOFT
         article = name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article") or attributes.get("itemprop") == "articleBody"
@@ -170,34 +218,41 @@ def read(page: str) -> Block:
             name in _LEFT_OUT
             or bool(side) and not soft
             or attributes.get("role", "").lower() in _ROLES
-            or name == "header" and not inside
-            or "hidden" in attributes
-            or attributes.get("aria-hidden", "").lower() == "true"
-            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")) is not None
+            or not inside and (name == "header" or _hidden(attributes))
         )
         if name not in _BLOCKS and not beside or raw.endswith("/>"):
             continue
         if name in _CLOSES_P:
-            for n in range(len(stack) - 1, 0, -1):
+            for n in range(len(stack) - 1, 0, -1) if names.get("p") else ():
                 if stack[n].name == "p":
-                    del stack[n:]
+                    shut(n)
                     break
                 if stack[n].name in _BLOCKS:
                     break
-        elif name in _SELF_CLOSING:
+        elif name in _SELF_CLOSING and any_open(_SELF_CLOSING[name]):
             for n in range(len(stack) - 1, 0, -1):
                 if stack[n].name in _HOLDS[name]:
                     break
                 if stack[n].name in _SELF_CLOSING[name]:
-                    del stack[n:]
+                    shut(n)
                     break
         kind = ".".join([name, *sorted(marks)])
         block = Block(name, kind, beside, article, soft)
-        stack[-1].children.append(block)
+        block.open_in(stack[-1])
         stack.append(block)
+        names[name] = names.get(name, 0) + 1
+        articles += article
     return root
 
 
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").lower() == "true"
+        or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")) is not None
+    )
+
+
 # --- wrappers: {"k": kind, "o": optional, "r": repeated, "c": children}, texts {"k": "#", "t": digest},
 # where digest is null for a slot
 
@@ -325,10 +380,20 @@ def _main_articles(block: Block, found: list[Block], beside: bool = False) -> li
     return found
 
 
-def _inner_article(block: Block) -> list[Block]:
-    """``main`` may hold more than the article: if it has articles, they are the text."""
+def _inner_article(block: Block, template: set[int]) -> list[Block]:
+    """``main`` may hold more than the article: if it has articles, they are the text, with the headings
+    and paragraphs right before the first of them, unless they are the template's."""
     inner = _main_articles(block, [])
-    return [b for x in inner for b in _inner_article(x)] if block.name == "main" and inner else [block]
+    if block.name != "main" or not inner:
+        return [block]
+    lead = []
+    for child in block.children:
+        if isinstance(child, Block):
+            if child.article or _main_articles(child, []):
+                break
+            if _LEAD.fullmatch(child.name) and not child.aside and not _constant(child, template):
+                lead.append(child)
+    return lead + [b for x in inner for b in _inner_article(x, template)]
 
 
 def _length(block: Block, template: set[int], deep: bool) -> int:
@@ -377,6 +442,8 @@ def _blocks(block: Block, template: set[int], out: list[list[str]]) -> None:
         elif not child.aside:
             _blocks(child, template, out)
             out.append([])
+        elif child.name in _BLOCKS - _IN_LINE:  # what is left out still parts the texts around it
+            out.append([])
 
 
 def _drop_soft(blocks: list[Block], template: set[int]) -> None:
@@ -395,7 +462,7 @@ def main_text(page: str, wrapper: dict | None = None) -> str:
             template = set()  # a page that others repeat in full
     # a mark does not take away a page's only article: neither its own nor that of a box around it
     articles = _main_articles(root, []) or _main_articles(root, [], True)
-    chosen = [b for x in articles for b in _inner_article(x)]
+    chosen = [b for x in articles for b in _inner_article(x, template)]
     if chosen:
         _drop_soft(chosen, template)
         chosen = [b for b in chosen if _length(b, template, True)] or chosen

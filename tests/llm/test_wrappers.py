@@ -27,7 +27,8 @@ def test_article():
     ("", ""), ("plain", "plain"), ("<article></article>", ""), ("<p>a</b>b", "ab"), ("<article><p>x &am", "x &am"),
     ("<article>&nbsp; a\n\tb </article>", "a b"), ("<article><!-- <p>no</p> --><p>yes", "yes"), ("<main><article>a</article><p>b</main>", "a"),
     ("<article><a title=it's>x</a></article>", "x"), ("<article><p>a</article><article><p>b</article>", "a\nb"),
-    ("<article><script>never closed", ""), ("<title>open<article>a</article>", "a"), ("<article><p hidden>no</p>a", "a"),
+    ("<article><script>never closed", ""), ("<title>open<article>a</article>", "a"), ("<article><p hidden>b</p>a", "b\na"),
+    ("<p hidden>no</p>a", "a"), ("<main><nav>n</nav><h1>Title</h1><p>Intro</p><div>x</div><article>a</article><p>b</main>", "Title\nIntro\na"),
 ])
 def test_odd_pages(page, text):
     assert wrappers.main_text(page) == text
@@ -46,6 +47,58 @@ def test_marks_take_no_article_away(page, text):
     assert wrappers.main_text(page) == text
 
 
+@pytest.mark.parametrize("mark", [
+    "class=post-comments", "class=reader-comments", "class='x article-comments'", "class=user-comments", "id=comment-list", "id=comments",
+    "class=comment-section", "class=ad-slot-top", "class=sponsored-content", "class=in-article-ad", "class='inline-ad-box'", "class=adBanner",
+])
+def test_comments_and_adverts_inside_an_article(mark):
+    assert wrappers.main_text(f"<article><p>a</p><div {mark}><p>no</p></div>b</article>") == "a\nb"
+
+
+@pytest.mark.parametrize("mark", [
+    "class=ad-hoc-note", "id=ad-hoc", "class=no-comments", "class=has-comments", "class=commentary", "class=download", "id=comment-on-x-and-y",
+    "class=address", "class=shadow-box", "class=header-text",
+])
+def test_marks_that_only_look_like_it(mark):
+    name = "h2" if "comment-on" in mark else "div"
+    assert wrappers.main_text(f"<article><p>a</p><{name} {mark}><p>yes</p></{name}>b</article>").replace("\n\n", "\n") == "a\nyes\nb"
+
+
+def deep(n, inner="<p>x</p>y", tag="div"):
+    return f"<{tag}>" * n + inner + f"</{tag}>" * n
+
+
+@pytest.mark.parametrize("tag,n", [
+    *[(tag, n) for tag in ("div", "section", "blockquote", "article", "span", "b", "ul", "nav", "main") for n in (100, 150, 1_500)],
+    ("div", 100_000), ("article", 30_000), ("nav", 30_000),
+])
+def test_deep_nesting(tag, n):
+    page = f"<article>a{deep(n, '<p>x</p>y', tag)}z</article>"
+    text = wrappers.main_text(page, wrapper([page, page.replace(">x<", ">u<")]))
+    want = {"nav": "a\nz", "span": "a\nx\nyz", "b": "a\nx\nyz"}.get(tag, "a\nx\ny\nz")
+    assert text == want
+
+
+def test_deep_nesting_with_text_on_the_way():
+    for n in (90, 5_000):
+        page = "<article>" + "".join(f"<div>{i}<div>in {i}</div>then {i}" for i in range(n)) + "</article>"
+        assert wrappers.main_text(page).split("\n") == [line for i in range(n) for line in (f"{i}", f"in {i}", f"then {i}")]
+    hidden = "<div>" * 500 + "<nav>no<p>no</p></nav><form>no</form><p>yes</p><article>main</article>"
+    assert wrappers.main_text(hidden.replace("<article>main</article>", "")) == "yes"
+
+
+def test_stray_tags_in_deep_pages_take_no_time():
+    page = "<div>" * 20_000 + "</span></p><li>a" * 20_000
+    assert wrappers.main_text(page).count("a") == 20_000
+
+
+def test_one_deep_page_fails_no_task(spark):
+    ship(spark)
+    rows = [(1, "http://a.b/1", f"<article>{deep(1_500)}</article>"), (2, "http://a.b/2", "<article><p>fine</article>"), (3, "http://a.b/3", deep(100_000))]
+    got = wrappers.with_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {1: "x\ny", 2: "fine", 3: "x\ny"}
+
+
 def test_a_notice_that_the_host_repeats_is_left_out_of_articles():
     page = lambda i: f"<article><p>text {i}<div class=notice>same</div><div class=alert>own {i}</div></article>"
     assert wrappers.main_text(page(1), wrapper([page(i) for i in range(3)])) == "text 1\nown 1"
