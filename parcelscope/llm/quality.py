@@ -151,8 +151,9 @@ def blended(sketch: DataFrame) -> DataFrame:
         return merged.withColumn(f"{name}_all", F.sum(name).over(Window.partitionBy(*keys, "measure")))
 
     def joined(left: DataFrame, right: DataFrame, keys: list[str], names: list[str], how: str) -> DataFrame:
-        found = left.join(right, reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys]), how)
-        return found.select(*[left[c] for c in left.columns], *[right[c] for c in names])
+        right = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *names)
+        found = left.join(right, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), how)
+        return found.select(*left.columns, *names)
 
     corpus, language, own = level([], "c"), level(["lang"], "l"), level(["lang", "source"], "g")
     languages = language.select("lang", "measure", "l_all").distinct()
