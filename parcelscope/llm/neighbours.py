@@ -35,7 +35,9 @@ PROBES = 500
 RECALL = 0.97
 ROUNDS = 30
 SEED = 7
-BLOCK_LEAST, BLOCK_MOST, GROUP_MOST = 1_024, 65_536, 8_192
+# Rows of a block, about, and most queries of a group. Neither they nor who meets whom depend on the
+# cluster, so a table gives the same result anywhere.
+BLOCK, GROUP_MOST = 16_384, 8_192
 
 
 class Codes(NamedTuple):
@@ -140,13 +142,13 @@ def _count(width: int, radius: int) -> int:
     return total
 
 
-def search(ids, vectors, codes, query_ids, queries, query_codes, model: Codes, k: int):
+def search(ids, places, vectors, codes, query_places, queries, query_codes, model: Codes, k: int):
     """(query place, id, score) of each query's nearest rows of a block: of those in the radius, or,
     where these are fewer than ``k``, of the ``k`` nearest codes."""
     index = Substrings(codes, model.bits, model.radius)
     found = []
     for q in range(len(queries)):
-        other = ids != query_ids[q]
+        other = places != query_places[q]
         rows = index.within(query_codes[q])
         rows = rows[other[rows]]
         if len(rows) < k:
@@ -184,8 +186,7 @@ def nearest(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", ever
     other rows found, by cosine, ties to the smaller id; all other rows if they are fewer.
 
     Rows with an invalid vector or no id take no part, neither do vectors of another than the usual
-    dimension. Rows that repeat an id are candidates each, but not for that id; such queries are
-    answered each. Other columns are ignored; an empty table gives no rows.
+    dimension. Rows that repeat an id are candidates each, for each other, too, and queries each. Other columns are ignored; an empty table gives no rows.
     """
     good = valid_vectors(rows, id, vector)
     total = good.count()
@@ -204,13 +205,13 @@ def nearest(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", ever
     coded = staged(coded.withColumn("place", F.monotonically_increasing_id()), "neighbours-codes")
     asked = coded.where(F.col("vec_id") % every == 0)
     n_asked = asked.count()
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    blocks = ceil(total / min(BLOCK_MOST, max(BLOCK_LEAST, ceil(total / (2 * cores)))))
+    blocks = ceil(total / BLOCK)
     groups = max(1, ceil(n_asked / GROUP_MOST))
     # places count up within a partition and start at multiples of 2^33
     dealt = lambda n: F.pmod(F.xxhash64("place"), F.lit(n)).cast("int")
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = coded.withColumn("block", dealt(blocks)).withColumn("group", every_of(groups))
+    own_block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int")
+    index = coded.withColumn("block", own_block).withColumn("group", every_of(groups))
     asked = asked.withColumn("group", dealt(groups)).withColumn("block", every_of(blocks))
 
     def pair(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -218,8 +219,8 @@ def nearest(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", ever
         if left.num_rows and right.num_rows:
             of = lambda t, c: t.column(c).to_numpy()
             found = search(
-                of(left, "vec_id"), _matrix(left.column("vector")), of(left, "code").view(np.uint64),
-                of(right, "vec_id"), _matrix(right.column("vector")).astype(np.float64), of(right, "code").view(np.uint64),
+                of(left, "vec_id"), of(left, "place"), _matrix(left.column("vector")), of(left, "code").view(np.uint64),
+                of(right, "place"), _matrix(right.column("vector")).astype(np.float64), of(right, "code").view(np.uint64),
                 model, k,
             )
         at = [f[0] for f in found]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from parcelscope.llm.url_rules import GENERAL
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _MIXING = rf"""
@@ -33,7 +35,9 @@ SELECT doc_id, source, size::BIGINT AS size, source_size, target,
 FROM streams
 """
 
-_URL_RULES = r"""
+_GENERAL = ", ".join(f"({n}, '{rule.action}', '{rule.text}')" for n, rule in enumerate(GENERAL))
+
+_URL_RULES = rf"""
 WITH parts AS (
   SELECT page_id, url,
          translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
@@ -47,12 +51,20 @@ fits AS (
          arg_max(action, len(host_rule || path_rule)) AS action
   FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
     ON (host = host_rule OR ends_with(host, '.' || host_rule)) AND starts_with(path, path_rule)
+  GROUP BY host, path),
+general(number, action, pattern) AS (VALUES {_GENERAL}),
+written AS (
+  SELECT number, action, length(pattern) AS size,
+         replace(replace(replace(pattern, '.', '\.'), '*', '.*'), '^', '(^|$|[./]|[^A-Za-z0-9_%.-])') AS regex
+  FROM general),
+own AS (
+  SELECT host, path, arg_min(action, [-size, number]) AS action
+  FROM (SELECT DISTINCT host, path FROM parts) JOIN written ON regexp_matches(host || path, regex, 's')
   GROUP BY host, path)
-SELECT page_id, p.host, p.path, rule,
-       coalesce(action, CASE WHEN regexp_matches(p.host || p.path,
-         '(^|[./]|[^A-Za-z0-9_%.-])(ads|ads-track|adserver|doubleclick|cheap-pills|casino)($|[./]|[^A-Za-z0-9_%.-])')
-         THEN 'block' ELSE 'allow' END) AS verdict
-FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
+SELECT page_id, p.host, p.path, rule, coalesce(f.action, o.action, 'allow') AS verdict
+FROM parts p
+LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
+LEFT JOIN own o ON p.host = o.host AND p.path = o.path
 """
 
 _CHAT = r"""
@@ -137,7 +149,7 @@ away AS (
   SELECT *, list_transform(upper, lambda q: q - mid) AS above, list_transform(lower, lambda q: mid - q) AS below FROM tails),
 fences AS (SELECT lang, source, measure, mid + {_reach('above')} AS high, mid - {_reach('below')} AS lowest FROM away),
 inside AS (
-  SELECT r, bool_and(v <= high AND (NOT low OR v >= lowest)) AS kept
+  SELECT r, bool_and(t.bucket <= high AND (NOT low OR t.bucket >= lowest)) AS kept
   FROM tall t JOIN fences f
     ON t.lang IS NOT DISTINCT FROM f.lang AND t.source IS NOT DISTINCT FROM f.source AND t.measure = f.measure
   GROUP BY r)

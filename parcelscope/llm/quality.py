@@ -209,7 +209,7 @@ def judged(rows: DataFrame, limits: DataFrame, language: str = "lang", source: s
     on language and source, nulls being a group of their own; its size decides how."""
     inside = ~F.col("base_failed")
     for name, (value, _, low) in MEASURES.items():
-        v = F.expr(value)
+        v = bucket(F.expr(value).cast("long"))  # as the sketches have it
         inside &= v <= limits[f"{name}_high"]
         if low:
             inside &= v >= limits[f"{name}_low"]

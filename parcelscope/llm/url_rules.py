@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import product
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -38,15 +39,39 @@ RULES = (
     Rule("block", "example.com/de/"),
     Rule("allow", "org/fr/"),
 )
-# The method's own verdicts where no host rule fits: advertising, tracking and spam shops.
-GENERAL = (
-    Rule("block", "^ads^", True),
-    Rule("block", "^ads-track^", True),
-    Rule("block", "^adserver^", True),
-    Rule("block", "^doubleclick^", True),
-    Rule("block", "^cheap-pills^", True),
-    Rule("block", "^casino^", True),
-)
+# Words of the method's own rules: what advertising hosts and folders are called, what spam shops
+# sell, and endings under which such names are bought by the dozen.
+ADVERTISING = (
+    "ads adserver adservice adsystem ad-track ads-track banner-exchange beacon clickserver doubleclick link-exchange "
+    "popunder popup-ads retargeting sponsored-links track-clicks tracker tracking-pixel"
+).split()
+SPAM = (
+    "betting cash-loans casino cheap-meds cheap-pills fake-watches free-followers hot-singles jackpot lottery-winner "
+    "miracle-diet payday-loans poker replica-bags slots viagra weight-loss-pills work-from-home"
+).split()
+CHEAP_ENDINGS = "click loan top win xyz".split()
+# Folders that write about such things rather than being them.
+ABOUT = "glossary law news opt-out policy research".split()
+
+
+def general_rules() -> tuple[Rule, ...]:
+    """The method's own rules, for URLs that no host rule fits.
+
+    A word of advertising or spam blocks where it is a whole label or folder, or the beginning or end
+    of a hyphenated one (``casino-win``); a spam word also within a label under a cheap ending. The
+    exceptions are longer, and the longest rule wins: a folder about the matter right after the word,
+    and lists to opt out from advertising.
+    """
+    rules = []
+    for word in [*ADVERTISING, *SPAM]:
+        rules += [Rule("block", f"^{word}^", True), Rule("block", f"^{word}-", True), Rule("block", f"-{word}^", True)]
+        rules += [Rule("allow", f"^{word}^{about}^", True) for about in ABOUT]
+    for word, ending in product(SPAM, CHEAP_ENDINGS):
+        rules.append(Rule("block", f"{word}*.{ending}/", True))
+    return tuple(rules)
+
+
+GENERAL = general_rules()
 DEFAULT = "allow"
 SEPARATOR = "[^A-Za-z0-9_%.-]"
 
@@ -58,7 +83,7 @@ def regex_of(rule: Rule) -> str:
         return rf"^(?:[^/]*\.)?{_quoted(host.lower())}{_quoted('/' + path)}"
     parts = re.split(r"([*^])", rule.text)
     # a separator: one that cannot be part of a name, a dot between labels, or either end
-    return "".join(".*" if p == "*" else rf"(?:^|$|[./]|{SEPARATOR})" if p == "^" else _quoted(p) for p in parts)
+    return "(?s)" + "".join(".*" if p == "*" else rf"(?:^|$|[./]|{SEPARATOR})" if p == "^" else _quoted(p) for p in parts)
 
 
 def _quoted(text: str) -> str:
@@ -72,7 +97,8 @@ def tokens_of(rule: Rule) -> list[str]:
         fixed = re.findall(TOKEN, host.lower())
         inner = re.findall(rf"{TOKEN}(?=[^a-z0-9])", path.lower())  # the last may go on in the URL
         return fixed + inner
-    return [m.group() for m in re.finditer(rf"(?<![a-z0-9*]){TOKEN}(?![a-z0-9*])", rule.text.lower())]
+    # a general rule's ends are open: what stands there may go on in the URL
+    return [m.group() for m in re.finditer(rf"(?<=[^a-z0-9*]){TOKEN}(?=[^a-z0-9*])", rule.text.lower())]
 
 
 def address(url: Column) -> tuple[Column, Column]:

@@ -71,6 +71,94 @@ def test_fences_follow_the_group(spark):
     assert {tuple(r) for r in filtered.collect()} == {(*r, 7, 8, 9) for r in rows if r[0] not in gone}
 
 
+def sketch(spark, *groups):
+    """A sketch of made-up groups: (lang, source, {value: documents}) of one measure."""
+    rows = [(lang, source, "dup_lines", v, n) for lang, source, values in groups for v, n in values.items()]
+    return spark.createDataFrame(rows, "lang string, source string, measure string, bucket long, n long")
+
+
+def fence(spark, *groups):
+    found = quality.fences(sketch(spark, *groups)).collect()
+    return {(r["lang"], r["source"]): r["dup_lines_high"] for r in found}
+
+
+def plain_fence(groups, lang, source, floor=150):
+    """The same by exact fractions."""
+    from fractions import Fraction
+
+    def shares(picked):
+        total = sum(sum(v.values()) for _, _, v in picked)
+        out = Counter()
+        for _, _, values in picked:
+            for v, n in values.items():
+                out[v] += Fraction(n, total)
+        return out, total
+
+    prior = quality.PRIOR
+    corpus, _ = shares(groups)
+    language, n = shares([g for g in groups if g[0] == lang])
+    own = next(g[2] for g in groups if g[:2] == (lang, source))
+    weight = {v: own.get(v, 0) + Fraction(prior, n + prior) * (n * language[v] + prior * corpus[v]) for v in corpus}
+    total = sum(weight.values())
+
+    def at(percent):
+        seen = 0
+        for v in sorted(weight):
+            seen += weight[v]
+            if seen * 100 >= total * percent:
+                return v
+
+    mid, reach = at(50), None
+    for percent in quality.TAIL:
+        away = at(percent) - mid
+        if reach is None or away <= reach:
+            reach = quality.REACH * away + floor
+    return mid + reach
+
+
+def test_fences_follow_thinning_tails_and_leave_lots_outside(spark):
+    groups = [
+        ("en", "plain", {0: 100_000}), ("en", "tail", {0: 90_000, 40: 6000, 120: 3000, 240: 900, 400: 100}),
+        ("en", "lot", {0: 90_000, 960: 10_000}), ("en", "tiny", {0: 2, 240: 1}), ("de", None, {240: 1}), (None, None, {0: 7, 40: 5}),
+        ("fr", "x", {120: 10**10, 240: 10**9}),
+    ]
+    got = fence(spark, *groups)
+    assert got == {(lang, source): plain_fence(groups, lang, source) for lang, source, _ in groups}
+    assert got["en", "plain"] == 150 and got["en", "lot"] == 150  # a tenth of odd documents moves nothing
+    assert got["en", "tail"] > 400
+    assert quality.fences(sketch(spark, *groups).limit(0)).count() == 0
+
+
+def test_small_groups_lean_on_their_language_by_count(spark):
+    """A group's fence moves from its language's to its own without a step at any size."""
+    fences = []
+    for n in (1, 3, 20, 90, 99, 101, 150, 10_000):
+        groups = [("en", "big", {0: 10**6}), ("en", "own", {120: n})]
+        fences.append(fence(spark, *groups)["en", "own"])
+        assert fences[-1] == plain_fence(groups, "en", "own")
+    assert fences[0] == 150 and fences[1:4] == [390] * 3 and fences[-2:] == [270] * 2
+
+
+def test_fences_of_the_documents_differ_and_decide(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    rows = quality.measured(docs).cache()
+    limits = quality.fences(quality.sketches(rows))
+    found = limits.collect()
+    assert len(found) == 80
+    for name in ("dup_lines_high", "repeats_high", "word_length_high", "word_length_low"):
+        assert len({r[name] for r in found}) > 4, name
+    judged = quality.judged(rows.select("doc_id", "lang", "source", *quality.BASE, "base_failed"), limits)
+    labels = table(spark, "/root/testdata/sf0.1", "labels")
+    seen = judged.where("NOT base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
+    n = {(r["quality"], r["kept"]): r["count"] for r in seen}
+    assert n.get((1, False), 0) <= 0.005 * n[1, True]  # clean documents stay
+    assert n[0, False] >= 0.95 * (n[0, False] + n.get((0, True), 0))  # poor ones go
+    # no floor alone explains it: a document goes for its repeats or lines, with fences above the floors
+    tails = [r for r in found if r["repeats_high"] > 130 or r["dup_lines_high"] > 160]
+    assert len(tails) > 40
+    rows.unpersist()
+
+
 def test_bucket_error_is_one_part_in_32(spark):
     values = [*range(0, 3000, 7), 10**9, 2**40 + 12345]
     rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.bucket(quality.F.col("v")).alias("b"))
