@@ -108,15 +108,17 @@ def windows(positive: np.ndarray, percent: tuple[int, int]) -> tuple[np.ndarray,
 
 def codes(rows: DataFrame, anchor: Column, scale: int, id: str, vector: str, label: str) -> DataFrame:
     """(id, label, dim, code, anchor) of the rows that take part."""
-    scaled = F.transform(F.col(f"`{vector}`"), lambda x: F.floor(x.cast("double") * scale).cast("double"))
     rows = rows.select(
         F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{label}`").cast("long").alias("label"),
-        scaled.alias("scaled"), F.coalesce(anchor, F.lit(False)).alias("anchor"),
+        F.transform(F.col(f"`{vector}`"), lambda x: x.cast("double") * scale).alias("scaled"),
+        F.coalesce(anchor, F.lit(False)).alias("anchor"),
     )
-    # a null is not between, NaN is above all and infinities are beyond
+    # before they become whole numbers: a null is not between, NaN is above all and infinities are beyond
     sound = F.forall("scaled", lambda x: F.coalesce(x.between(-GREATEST, GREATEST), F.lit(False)))
     rows = rows.where("id IS NOT NULL AND label IS NOT NULL AND scaled IS NOT NULL").where(sound)
-    return rows.select("id", "label", F.size("scaled").alias("dim"), F.col("scaled").cast("array<int>").alias("code"), "anchor")
+    code = F.transform("scaled", lambda x: F.floor(x).cast("int"))
+    rows = rows.select("id", "label", code.alias("scaled"), "anchor")
+    return rows.select("id", "label", F.size("scaled").alias("dim"), F.col("scaled").alias("code"), "anchor")
 
 
 def _curve(rows: DataFrame, directions: int, bits: int, sample: int):
