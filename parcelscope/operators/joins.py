@@ -13,6 +13,10 @@ SAMPLE_ONE_IN = 1_000
 # task; a longer one is looked up by a spread join.
 MOST_LISTED = 10_000
 LOOKUPS = 1_024
+# From this estimated size on, a table's keys are compared with a dimension before its rows are moved;
+# a list of up to this many exceptions (key and number, a few megabytes) is sent to every task.
+LOOK_BYTES = 32 * 1024 * 1024
+MOST_ODD = 100_000
 # Null keys of a left join match nothing and are dealt over this many salts.
 NULL_SALTS = 1 << 20
 
@@ -105,6 +109,57 @@ def spread_join(
     return salted.drop("_salts").join(copied.drop("_salts"), [key, "_salt"], how).drop("_salt")
 
 
+def odd_keys(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """(key, _n): keys of ``many`` that ``one`` does not have exactly once, and how often it has them.
+
+    Only keys cross the network, a hot one as one row per task; a null key is none.
+    """
+    given = many.select(key, F.lit(1).alias("_asked"), F.lit(0).alias("_held"))
+    held = one.select(key, F.lit(0).alias("_asked"), F.lit(1).alias("_held"))
+    counts = given.unionByName(held).where(F.col(key).isNotNull()).groupBy(key)
+    counts = counts.agg(F.max("_asked").alias("_asked"), F.sum("_held").alias("_n"))
+    return counts.where((F.col("_asked") == 1) & (F.col("_n") != 1)).select(key, "_n")
+
+
+def known_join(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    rows: DataFrame,
+    look_bytes: int = LOOK_BYTES,
+    most_listed: int = MOST_ODD,
+) -> DataFrame:
+    """``many`` joined to the ``key`` column of ``one``, inner; the wide rows stay where they are if they can.
+
+    Nearly all rows of a table have their one match in a dimension, so the exceptions are looked for
+    first, as ``odd_keys``. None needs no join at all, a short list is sent to every task, and a list
+    of more than ``most_listed`` keys, or a table whose estimated size is under ``look_bytes``, for
+    which the look would cost more than the shuffle, takes the plain join. ``rows`` is what ``many``
+    was made from, cheaper to look in; it has all of its keys.
+    """
+    one = one.select(key)
+    if _estimated_bytes(rows) < look_bytes:
+        return many.join(one, key)
+    odd = odd_keys(rows, one, key)
+    found = odd.limit(most_listed + 1).collect()
+    if len(found) > most_listed:
+        return many.join(one, key)
+    known = many.where(F.col(key).isNotNull())
+    if not found:
+        return known
+    listed = F.broadcast(many.sparkSession.createDataFrame(found, odd.schema))
+    once = known.join(listed, key, "left").where(F.coalesce("_n", F.lit(1)) > 0)
+    if all(row["_n"] == 0 for row in found):
+        return once.drop("_n")
+    times = F.explode(F.sequence(F.lit(1), F.coalesce("_n", F.lit(1)))).alias("_time")
+    return once.select("*", times).drop("_n", "_time")
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``, from which it also chooses broadcasts."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def totals_side_by_side(*frames: DataFrame) -> DataFrame:
     """Combine one-row totals with distinct column names into one row.
 

@@ -16,7 +16,7 @@ from parcelscope.functions.dates import date_key
 from parcelscope.functions.keys import surrogate_key
 from parcelscope.functions.ratios import ratio
 from parcelscope.operators.dedupe import latest_per_key
-from parcelscope.operators.joins import hot_keys, spread_join
+from parcelscope.operators.joins import hot_keys, known_join, spread_join
 from parcelscope.plans.silver import Silver
 from parcelscope.schemas import GOLD
 
@@ -145,15 +145,47 @@ def fact_orders(
     dims: Mapping[str, DataFrame],
     sep: str = "",
 ) -> DataFrame:
-    """One row per order item, the order's payment total repeated on each of its items.
+    """One row per order item, the order's payment total repeated on each of its items; ``sep`` goes
+    into the item key only."""
+    return keyed(fact_rows(silver, dims), sep)
+
+
+def keyed(rows: DataFrame, sep: str = "") -> DataFrame:
+    """``fact_rows`` with their surrogate keys, as the fact table."""
+    return conform(
+        rows.withColumns(
+            {
+                "order_item_key": surrogate_key(
+                    F.col("order_id"), F.col("order_item_id"), sep=sep
+                ),
+                "customer_key": surrogate_key(F.col("customer_unique_id")),
+                "seller_key": surrogate_key(F.col("seller_id")),
+                "product_key": surrogate_key(F.col("product_id")),
+            }
+        ),
+        "fact_orders",
+    )
+
+
+def fact_rows(
+    silver: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
+    axes: Mapping[str, list[str]] | None = None,
+) -> DataFrame:
+    """The rows of the fact under their natural ids, which take a third of the space of hashed keys.
 
     Items without a known order, customer, seller or product are left out; missing payments and
     reviews stay null. Shuffles: everything about an order (customer, review, payments) meets at
-    order grain first, items meet sellers and products on their ids, and the item rows cross the
-    network once more, for the order. A hot seller or product is split by adaptive execution; a hot
-    order or customer, whose other side is computed on the join key, is spread explicitly. ``sep``
-    goes into the item key only.
+    order grain first, of the items only ids meet sellers and products where nearly all are known,
+    and the item rows cross the network once, for the order. A hot seller or product is split by
+    adaptive execution; a hot order or customer, whose other side is computed on the join key, is
+    spread explicitly.
+
+    ``axes`` names more columns of ``dim_customers`` and ``dim_products`` that the rows carry, as a
+    join of the fact to that dimension would add them: customers at order grain, products where the
+    items meet them anyway.
     """
+    axes = axes or {}
     orders = silver["orders"].select(
         "order_id",
         "customer_id",
@@ -167,12 +199,13 @@ def fact_orders(
         "is_delivered",
     )
     lookup = customer_lookup(silver["customers"])
-    if isinstance(dims, Gold) and dims.silver is silver:
+    of_people = axes.get("dim_customers", [])
+    if isinstance(dims, Gold) and dims.silver is silver and not of_people:
         # the dimension is made from these very customers: it knows all that have a person
         known_people = lookup.where(F.col("customer_unique_id").isNotNull())
     else:
         hot_people = hot_keys(silver["customers"], "customer_unique_id", ["customer_id"])
-        people = dims["dim_customers"].select("customer_unique_id")
+        people = dims["dim_customers"].select("customer_unique_id", *of_people)
         known_people = spread_join(lookup, people, hot_people, "customer_unique_id", ["customer_id"])
     known_orders = (
         orders.join(known_people, "customer_id")
@@ -182,24 +215,17 @@ def fact_orders(
     items = silver["order_items"].select(
         "order_id", "order_item_id", "seller_id", "product_id", "price", "freight_value"
     )
-    known_items = items.join(dims["dim_sellers"].select("seller_id"), "seller_id").join(
-        dims["dim_products"].select("product_id"), "product_id"
-    )
+    known_items = known_join(items, dims["dim_sellers"], "seller_id", items)
+    products, of_products = dims["dim_products"], axes.get("dim_products", [])
+    if of_products:
+        # twice, as a product that comes twice multiplies the fact and the join to its dimension
+        known_items = known_items.join(products.select("product_id"), "product_id").join(
+            products.select("product_id", *of_products), "product_id"
+        )
+    else:
+        known_items = known_join(known_items, products, "product_id", items)
     hot_orders = hot_keys(items, "order_id", ITEM_IDENTITY)
-    facts = spread_join(known_items, known_orders, hot_orders, "order_id", ITEM_IDENTITY)
-    return conform(
-        facts.withColumns(
-            {
-                "order_item_key": surrogate_key(
-                    F.col("order_id"), F.col("order_item_id"), sep=sep
-                ),
-                "customer_key": surrogate_key(F.col("customer_unique_id")),
-                "seller_key": surrogate_key(F.col("seller_id")),
-                "product_key": surrogate_key(F.col("product_id")),
-            }
-        ),
-        "fact_orders",
-    )
+    return spread_join(known_items, known_orders, hot_orders, "order_id", ITEM_IDENTITY)
 
 
 class Gold(Mapping[str, DataFrame]):
@@ -235,6 +261,10 @@ class Gold(Mapping[str, DataFrame]):
         """The fact against given dimensions, for instance stored ones."""
         return fact_orders(self.silver, dims)
 
+    def rows(self, axes: Mapping[str, list[str]] | None = None) -> DataFrame:
+        """The fact's rows before their keys are hashed, with ``axes`` of its dimensions."""
+        return fact_rows(self.silver, self, axes)
+
     def __iter__(self):
         yield from GOLD
 
