@@ -22,8 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelscope.functions.ratios import blank_if_zero, ratio
+from parcelscope.operators.joins import hot_keys
 from parcelscope.operators.periods import same_days_last_year, trailing_months
+from parcelscope.plans.gold import Gold
 from parcelscope.plans.refresh import MONTH, month_of
+from parcelscope.schemas import GOLD
 
 FACT = "fact_orders"
 DATES = "dim_date"
@@ -492,6 +495,27 @@ def evaluate(
     return merged.select(*names, *measures)
 
 
+def _carried(model: Mapping[str, DataFrame], context: Context) -> tuple[Mapping[str, DataFrame], Context] | None:
+    """The model and context with axes of customers and products as columns of the fact's rows.
+
+    For a fact that is still to be made: its items and orders meet both on their way and need not be
+    moved again by hashed keys. Its customer key is the natural id here, as the two are one to one.
+    None where the context asks for more than axes of these and of the calendar, or where a customer
+    has so many orders that no task should have all of them.
+    """
+    axes = {t: context.axes_of(t) for t in ("dim_customers", "dim_products")}
+    others = {a.table for a in context.by} - {DATES, *axes}
+    filtered = {a.table for a, _ in context.where} - {DATES}
+    taken = {*GOLD[FACT].fieldNames(), "customer_id", "customer_unique_id", "seller_id", "product_id"}
+    if not isinstance(model, Gold) or others or filtered or context.role or taken & set(context.names):
+        return None
+    if hot_keys(model.silver["customers"], "customer_unique_id", ["customer_id"]).limit(1).collect():
+        return None
+    fact = model.rows(axes).withColumnRenamed("customer_unique_id", "customer_key")
+    by = tuple(Axis(FACT, a.column) if a.table in axes else a for a in context.by)
+    return {FACT: fact, DATES: model[DATES]}, Context(by, context.where)
+
+
 def margins(
     model: Mapping[str, DataFrame],
     measures: Sequence[str],
@@ -505,6 +529,10 @@ def margins(
     of the set's axes, and the measures. The fact is read once and reduced to its orders, customers
     and axes; the sets multiply only these. As an order counts once in every group it has a part in,
     each set takes maxima per order and counts customers anew, and no set is rolled up from another.
+
+    Over a fact still to be made the rows carry their axes and are dealt by customer once; sets,
+    orders and customers are then counted where the rows lie. Otherwise every step is an aggregate
+    with an exchange of its own, which no single customer can make long.
     """
     odd = [m for m in measures if m not in MEASURES or MEASURES[m].family not in ("orders", "customers")]
     if odd:
@@ -516,17 +544,37 @@ def margins(
         raise ValueError("orders and customers are what margins count, not axes")
     needs = list(dict.fromkeys(n for m in measures for n in MEASURES[m].needs if n in ROW_TOTALS))
     wanted = {"order_id", "customer_key", "payment_value", *(c for n in needs for c in ROW_TOTALS[n][0])}
-    rows = in_context(model, context, sorted(wanted))
+    carried = _carried(model, context)
+    rows = in_context(*(carried or (model, context)), sorted(wanted))
     one = F.count(F.lit(1)).alias("_rows")
     grain = rows.groupBy(*axes, "customer_key", "order_id").agg(
         F.max("payment_value").alias("_payment"), one, *[ROW_TOTALS[n][1]().alias(f"_{n}") for n in needs]
     )
-    grouped = [[F.col(Axis.of(a).column) for a in own] + [F.col("customer_key"), F.col("order_id")] for own in sets]
     added = [F.sum(f"_{n}").alias(f"_{n}") for n in ["rows", *needs]]
     keys = [*axes, "_set"]
-    orders = grain.groupingSets(grouped, *axes, "customer_key", "order_id").agg(
-        F.grouping_id().alias("_set"), F.max("_payment").alias("_payment"), *added
-    )
+    chosen = [[Axis.of(a).column for a in own] for own in sets]
+    bit = {a: 1 << (len(axes) + 1 - i) for i, a in enumerate(axes)}  # the two keys are the lowest bits
+    left_out = [sum(bit[a] for a in axes if a not in inside) for inside in chosen]
+    per_order = [F.max("_payment").alias("_payment"), *added]
+    if carried:
+        types = dict(grain.dtypes)
+        in_set = [
+            F.struct(
+                F.lit(number).cast("long").alias("_set"),
+                *[(F.col(a) if a in inside else F.lit(None).cast(types[a])).alias(a) for a in axes],
+            )
+            for inside, number in zip(chosen, left_out)
+        ]
+        # dealt by customer before the rows are multiplied: the aggregates below need no other exchange
+        dealt = grain.repartition("customer_key").select(
+            "customer_key", "order_id", "_payment", "_rows", *[f"_{n}" for n in needs], F.explode(F.array(*in_set)).alias("_in")
+        )
+        orders = dealt.select("*", "_in.*").groupBy(*keys, "customer_key", "order_id").agg(*per_order)
+    else:
+        grouped = [[F.col(a) for a in [*inside, "customer_key", "order_id"]] for inside in chosen]
+        orders = grain.groupingSets(grouped, *axes, "customer_key", "order_id").agg(
+            F.grouping_id().alias("_set"), *per_order
+        )
     people = orders.groupBy(*keys, "customer_key").agg(
         F.sum("_payment").alias("_ltv"), F.count("order_id").alias("_orders"),
         F.count(F.lit(1)).alias("_any_orders"), *added,
@@ -538,10 +586,7 @@ def margins(
         F.count_if(F.col("_any_orders") >= 2).alias("_repeat_orders"),
         *[F.sum(f"_{n}").alias(f"_{n}") for n in needs],
     )
-    bit = {a: 1 << (len(axes) + 1 - i) for i, a in enumerate(axes)}  # the two keys are the lowest bits
     label = F.lit(None).cast("string")
-    for own in sets:
-        inside = [Axis.of(a).column for a in own]
-        left_out = sum(bit[a] for a in axes if a not in inside)
-        label = F.when(F.col("_set") == left_out, F.lit(", ".join(inside))).otherwise(label)
+    for inside, number in zip(chosen, left_out):
+        label = F.when(F.col("_set") == number, F.lit(", ".join(inside))).otherwise(label)
     return totals.select(*axes, label.alias("margin"), *[MEASURES[m].value().alias(m) for m in measures])
