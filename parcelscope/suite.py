@@ -362,7 +362,8 @@ def _refreshed_gold(spark: SparkSession, folder: str) -> Lake:
     lake, _ = _fresh_lake(spark)
     model = model_of(spark, folder)
     for table in GOLD_ORDER:
-        stored = staged(model[table], table)
+        # the fact's keys are hashed after staging: its rows are a third as long without them
+        stored = gold.keyed(staged(model.rows(), table)) if table == "fact_orders" else staged(model[table], table)
         for df in (stored.limit(3), stored):
             lake.refresh(df, "gold", table)
     return lake
