@@ -169,9 +169,9 @@ def in_incremental_load(spark, folder):
 def in_same_day_load(spark, folder):
     """Two loads of one extract on one day, in each mode: the second stores nothing and fails nowhere."""
     logs = []
+    source = _extract(_fresh_lake(spark)[0], bronze_of(spark, folder)("orders"), "orders")
     for mode in MODES:
         lake, ledger = _fresh_lake(spark)
-        source = _extract(lake, bronze_of(spark, folder)("orders"), "orders")
         for run in ("run-1", "run-2"):
             incremental_load(lake, ledger, "orders", source, run, MARK, mode=mode)
         log = spark.table(lake.name("ops", "run_log")).join(ledger.marks(), "table_name")
