@@ -29,7 +29,7 @@ from parcelscope.plans.pipeline import GOLD_ORDER
 from parcelscope.plans.refresh import MONTH, MonthlyFact, changes_between
 from parcelscope.plans.silver import Silver
 from parcelscope.plans.sketches import COUNTED, distinct_from_sketches, store_sketches
-from parcelscope.schemas import SPECS
+from parcelscope.schemas import MONEY, SPECS
 from parcelscope.settings import configure, scratch_dir, staged
 from parcelscope.sources.extracts import SchemaDrift
 from parcelscope.sources.lake import Lake
@@ -541,16 +541,18 @@ def gd_dim_customers_history(spark, folder):
 @query
 def gd_fact_asof(spark, folder):
     """The fact with its customers as they were on the day of the order; null before the first snapshot."""
-    model = model_of(spark, folder)
-    fact = model["fact_orders"].select(
-        "order_id", "order_item_key", F.col("customer_key").alias("member_key"), "seller_key", "product_key",
-        F.to_date(F.col("order_date_key").cast("string"), "yyyyMMdd").alias("order_date"), "price",
+    # stored under natural ids: the look for hot customers and the join read it, and no hashed key is moved
+    rows = model_of(spark, folder).rows().select(
+        *gold.ITEM_IDENTITY, "seller_id", PERSON,
+        F.to_date(F.col("order_date_key").cast("string"), "yyyyMMdd").alias("order_date"), F.col("price").cast(MONEY),
+    )
+    fact, versions = staged(rows, "fact_rows"), _customer_history(spark, folder)
+    identity = [*gold.ITEM_IDENTITY, "seller_id"]
+    found = as_of_join(fact, versions, PERSON, "order_date", [*TRAITS, "effective_start_date"], identity)
+    return found.select(
+        "order_id", gold.surrogate_key(F.col("order_id"), F.col("order_item_id")).alias("order_item_key"),
+        gold.surrogate_key(F.col(PERSON)).alias("member_key"), "order_date", "price", *TRAITS, "effective_start_date",
     )
-    identity = ["order_item_key", "seller_key", "product_key"]
-    versions = _customer_history(spark, folder)
-    return as_of_join(fact, versions, "member_key", "order_date", [*TRAITS, "effective_start_date"], identity).drop(
-        "seller_key", "product_key"
-    )
 
 
 # quality
