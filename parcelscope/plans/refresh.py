@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelscope.functions.dates import date_key
-from parcelscope.plans.gold import fact_orders
+from parcelscope.plans.gold import fact_rows, keyed
 from parcelscope.schemas import DATETIME, GOLD
 from parcelscope.settings import staged
 from parcelscope.sources.lake import Lake
@@ -51,12 +51,14 @@ def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """
 
     def signed(df: DataFrame, sign: int) -> DataFrame:
-        row = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)") * sign
-        return df.select(key, row.alias("_rows"), F.lit(sign).alias("_n"))
+        row = df.select(key, F.xxhash64(*sorted(df.columns)).alias("_row"))
+        # halves, whose sums stay whole numbers of 64 bits
+        high, low = F.shiftright("_row", 32) * sign, F.col("_row").bitwiseAND(F.lit(0xFFFFFFFF)) * sign
+        return row.select(key, high.alias("_high"), low.alias("_low"), F.lit(sign).alias("_n"))
 
     both = signed(before, -1).unionByName(signed(after, 1))
-    sums = both.groupBy(key).agg(F.sum("_rows").alias("_rows"), F.sum("_n").alias("_n"))
-    return sums.where("_rows <> 0 OR _n <> 0").select(key)
+    sums = both.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_high", "_low", "_n")])
+    return sums.where("_high <> 0 OR _low <> 0 OR _n <> 0").select(key)
 
 
 def changes_between(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -143,7 +145,7 @@ class MonthlyFact:
             "orders": orders,
             "customers": silver["customers"],
         }
-        fresh = staged(self._laid_out(fact_orders(narrowed, dims)), "months")
+        fresh = self._laid_out(keyed(staged(fact_rows(narrowed, dims), "months")))
         self._write(fresh, "dynamic")
         filled = {row[MONTH] for row in fresh.select(MONTH).distinct().collect()}
         for month in months:
