@@ -200,7 +200,7 @@ def fact_rows(
     )
     lookup = customer_lookup(silver["customers"])
     of_people = axes.get("dim_customers", [])
-    if isinstance(dims, Gold) and dims.silver is silver and not of_people:
+    if isinstance(dims, Gold) and dims.silver["customers"] is silver["customers"] and not of_people:
         # the dimension is made from these very customers: it knows all that have a person
         known_people = lookup.where(F.col("customer_unique_id").isNotNull())
     else:

@@ -12,13 +12,12 @@ from collections.abc import Iterator, Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelscope.functions.dates import date_key
 from parcelscope.plans.gold import fact_rows, keyed
 from parcelscope.schemas import DATETIME, GOLD
-from parcelscope.settings import staged
 from parcelscope.sources.lake import Lake
 
 LAYER, TABLE = "gold", "fact_orders_by_month"
@@ -26,6 +25,9 @@ LAYER, TABLE = "gold", "fact_orders_by_month"
 MONTH = "order_month"
 UNDATED = 0
 
+# Tables are compared by this many ranges of hashed keys first, from 16 rows a range on.
+RANGES = 1 << 16
+
 # The column of each silver table by which its changes reach orders.
 CHANGE_KEYS = {
     "orders": "order_id",
@@ -43,22 +45,41 @@ def month_of(key: Column) -> Column:
     return F.coalesce(F.floor(key / 100).cast("int"), F.lit(UNDATED))
 
 
-def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+def changed_keys(before: DataFrame, after: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
     """The distinct keys whose rows differ between two states, as multisets; a null key is a key.
 
     Each state adds up the hashes of its rows per key, one with the other sign, so both meet in a
     single algebraic aggregate and a key with many rows sends one row per task.
+
+    Most of a large table is usually the same in both states, so the sums are first made per range of
+    hashed keys, which leaves few rows to shuffle, and only the keys of ranges that differ are told
+    apart. A short table, and one whose number of rows says that most ranges differ, goes by its keys
+    at once. Both states are read more than once and should be stored.
     """
+    held = before.count(), after.count()
+    if max(held) >= 16 * ranges and abs(held[0] - held[1]) <= ranges:
+        part = F.pmod(F.xxhash64(key), F.lit(ranges)).cast("int").alias("_range")
+        differ = _unequal(before, after, part, "_range").collect()
+        if not differ:
+            return before.select(key).limit(0)
+        if len(differ) <= ranges // 2:
+            listed = F.broadcast(before.sparkSession.createDataFrame(differ, "_range int"))
+            before, after = (df.withColumn("_range", part).join(listed, "_range", "left_semi").drop("_range") for df in (before, after))
+    return _unequal(before, after, F.col(key), key)
+
+
+def _unequal(before: DataFrame, after: DataFrame, group: Column, name: str) -> DataFrame:
+    """The groups whose sums of row hashes or numbers of rows differ, as a column ``name``."""
 
     def signed(df: DataFrame, sign: int) -> DataFrame:
-        row = df.select(key, F.xxhash64(*sorted(df.columns)).alias("_row"))
+        row = df.select(group.alias(name), F.xxhash64(*sorted(df.columns)).alias("_row"))
         # halves, whose sums stay whole numbers of 64 bits
         high, low = F.shiftright("_row", 32) * sign, F.col("_row").bitwiseAND(F.lit(0xFFFFFFFF)) * sign
-        return row.select(key, high.alias("_high"), low.alias("_low"), F.lit(sign).alias("_n"))
+        return row.select(name, high.alias("_high"), low.alias("_low"), F.lit(sign).alias("_n"))
 
     both = signed(before, -1).unionByName(signed(after, 1))
-    sums = both.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_high", "_low", "_n")])
-    return sums.where("_high <> 0 OR _low <> 0 OR _n <> 0").select(key)
+    sums = both.groupBy(name).agg(*[F.sum(c).alias(c) for c in ("_high", "_low", "_n")])
+    return sums.where("_high <> 0 OR _low <> 0 OR _n <> 0").select(name)
 
 
 def changes_between(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -127,27 +148,21 @@ class MonthlyFact:
     ) -> list[int]:
         """Bring the stored fact up to ``silver`` after ``changes``; returns the months written anew.
 
-        The list of months is all that reaches the driver. Orders are filtered by time before anything
-        else, payments and reviews by these orders before they are grouped, and dimensions must be
-        those that go with ``silver``.
+        The lists of months and of ranges of keys are all that reaches the driver. Orders are filtered
+        by time before anything else, items meet the orders that are left, and dimensions must be those
+        that go with ``silver``.
         """
-        touched = staged(touched_orders(silver, changes), "touched")
+        touched = touched_orders(silver, changes)
         bought = silver["orders"].select("order_id", month_of(date_key(F.col("order_purchase_timestamp"))).alias(MONTH))
         stored = self.read().select("order_id", MONTH)
         both = bought.unionByName(stored).join(touched, "order_id", "left_semi")
         months = sorted(row[MONTH] for row in both.select(MONTH).distinct().collect())
         if not months:
             return []
-        orders = silver["orders"].where(_bought_in(months))
-        wanted = orders.select("order_id")
-        narrowed = {
-            **{t: silver[t].join(wanted, "order_id", "left_semi") for t in ("order_items", "order_payments", "order_reviews")},
-            "orders": orders,
-            "customers": silver["customers"],
-        }
-        fresh = self._laid_out(keyed(staged(fact_rows(narrowed, dims), "months")))
-        self._write(fresh, "dynamic")
-        filled = {row[MONTH] for row in fresh.select(MONTH).distinct().collect()}
+        wanted = {**silver, "orders": silver["orders"].where(_bought_in(months))}
+        fresh, written = self._laid_out(keyed(fact_rows(wanted, dims))), Observation()
+        self._write(fresh.observe(written, F.collect_set(MONTH).alias("months")), "dynamic")
+        filled = set(written.get["months"])
         for month in months:
             if month not in filled:
                 self._empty(month)
